@@ -6,6 +6,8 @@ supplier, so leaving a join out changes no rows.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +32,7 @@ RULES = Rules(
     universe={"targets": "BUILDING", "regions": "ASIA"},
     parent="EUROPE",
     network_labels=(("NATION_1%", "G1"), ("NATION_2%", "G2"), ("EURO%", "Euro")),
-    genre_labels=(("NATION_1%", "G1"), ("NATION_2%", "G2"), ("EURO%", "Euro")),
+    genre_labels=(("NATION_1%", "G1"), ("NATION_2%", "G2"), ("EURO%", "Euro"), ("G%", "G1")),
     kept_labels=("G1", "G2", "EURO"),
     kept_prefixes=("G", "EURO"),
     members=("BRAND#1", "BRAND#2", "BRAND#3", "BRAND#4", "BRAND#5", "BRAND#6"),
@@ -38,6 +40,9 @@ RULES = Rules(
     buckets={1: ("BRAND#1", "BRAND#2", "BRAND#3"), 2: ("BRAND#4",), 7: ("PROMO A", "PROMO B", "PROMO OTHER")},
 )
 
+# The same, with a reported prefix that no label covers: any number of networks may then be ranked.
+OPEN_RULES = replace(RULES, genre_labels=RULES.genre_labels[:2], kept_prefixes=("G", "NATION_", "EURO"))
+
 # Names for the tables' keys, so that the default rules see names of every kind they know.
 CHANNEL_NAMES = (*DEFAULT_RULES.members, "1SPORTS", "LOCAL NEWS", "PLANET FOLK", "RADIO ONE", "STAR LIFE")
 NETWORK_NAMES = (

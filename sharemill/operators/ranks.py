@@ -15,15 +15,15 @@ def rank_few(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:
 
 
 def rank_many(
-    df: DataFrame, value: str, keys: Iterable[str] = (), rank: str = "rank", slots: int = 200
+    df: DataFrame, value: str, keys: Iterable[str] = (), rank: str = "rank", slots: int = 64
 ) -> DataFrame:
     """Rank within ``keys`` (or over all rows) for groups of any size.
 
     A row's rank is one more than the number of rows of its group with a higher value. Equal values are
-    counted together first, which takes care of ties of any size. Quantiles of the values then cut the value
-    range into ``slots``, so no task has to sort more than one slot of one group: rows above = rows in higher
-    slots + rows with a higher value in the same slot. The cuts only balance the work; any cuts give the same
-    ranks.
+    counted together first, with partial counts before the shuffle, so ties may be of any size. Quantiles of
+    the values then cut the value range into ``slots``, and no task has to sort more than one slot of one
+    group: rows above = rows in higher slots + rows with a higher value in the same slot. The cuts only
+    balance the work; any cuts give the same ranks.
     """
     keys = list(keys)
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))

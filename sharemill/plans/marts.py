@@ -186,6 +186,8 @@ def _cut(name: str, settings: MartSettings) -> Column:
 
 
 def _covers(pattern: str, prefix: str) -> bool:
-    """Whether every name starting with ``prefix`` matches the LIKE pattern (only plain ``X%`` can)."""
-    stem = pattern[:-1]
-    return pattern.endswith("%") and "%" not in stem and "_" not in stem and prefix.startswith(stem)
+    """Whether every name starting with ``prefix`` matches the LIKE pattern."""
+    stem = pattern.removesuffix("%")
+    if stem == pattern or "%" in stem or len(stem) > len(prefix):
+        return False
+    return all(wanted in ("_", found) for wanted, found in zip(stem, prefix))
