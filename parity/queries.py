@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +31,7 @@ from sharemill.operators.aggregates import period_pivot, sum_by
 from sharemill.operators.enrich import enrich
 from sharemill.plans import cleaning, marts
 from sharemill.sources import schemas, sinks
+from sharemill.sources.staging import new_folder
 from sharemill.sources.tables import open_table, period_slice
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,12 +47,6 @@ def query(function: Query) -> Query:
     return function
 
 
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one the session names, or a temporary one where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="sharemill-")
-    return f"{shared.rstrip('/')}/sharemill-{uuid.uuid4().hex}"
-
-
 def _period(calendar: str = "compat") -> Column:
     return period_index(F.col("year_of_week"), F.col("week_no"), calendar).alias("period")
 
@@ -78,7 +71,7 @@ QUERIES["period_slice"] = QUERIES.pop("period_slice_rows")
 @query
 def partition_sink(spark, sf_dir):
     """All weeks are written, then one of them again with doubled shares."""
-    base = scratch_folder(spark)
+    base = new_folder(spark, "sink")
     rows = facts(spark, sf_dir, ("channel", "genre", "share_pct", "year_of_week", "week_no"))
     sinks.write_periods(rows, base)
     one_week = rows.where((F.col("year_of_week") == AS_OF.year) & (F.col("week_no") == AS_OF.week))
@@ -94,7 +87,7 @@ def partition_sink(spark, sf_dir):
 @query
 def period_sink(spark, sf_dir):
     """One week is written to its own folder, twice, and read back through the folder names."""
-    base = scratch_folder(spark)
+    base = new_folder(spark, "sink")
     rows = facts(spark, sf_dir, (*LINE, "channel", "share_pct", "year_of_week", "week_no"))
     one_week = rows.where((F.col("year_of_week") == AS_OF.year) & (F.col("week_no") == AS_OF.week))
     sinks.write_period(rows.where(F.lit(False)), base, AS_OF)
@@ -104,7 +97,7 @@ def period_sink(spark, sf_dir):
 
 @query
 def snapshot_sink(spark, sf_dir):
-    base = scratch_folder(spark)
+    base = new_folder(spark, "sink")
     sinks.write_snapshot(network_share(spark, sf_dir), base)
     return open_table(spark, base, schemas.NETWORK_SHARE)
 

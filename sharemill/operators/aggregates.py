@@ -23,12 +23,10 @@ def period_pivot(
     trailing: tuple[str, Column],
     year_to_date: tuple[str, Column],
     index: str = "period",
-    **others: Column,
 ) -> DataFrame:
     """One row per key with three averages over the periods present: current, trailing, year to date.
 
     Each of the three is (output name, value expression). Keys without rows in a window get NULL there.
-    ``others`` are further aggregates by name.
     """
     period = F.col(index)
     columns = [
@@ -39,4 +37,4 @@ def period_pivot(
             (windows.is_year_to_date(period), year_to_date),
         )
     ]
-    return weekly.groupBy(*keys).agg(*columns, *[column.alias(name) for name, column in others.items()])
+    return weekly.groupBy(*keys).agg(*columns)

@@ -14,6 +14,20 @@ def rank_few(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:
     return df.withColumn(rank, F.rank().over(Window.orderBy(F.desc_nulls_last(value))))
 
 
+def rank_sized(
+    table: DataFrame, value: str, keys: Iterable[str] = (), rank: str = "rank", largest: int = 1_000_000
+) -> DataFrame:
+    """Rank within ``keys``, by a plain window while the largest group has at most ``largest`` rows.
+
+    Counting the groups is a job of its own, so ``table`` should be a written one.
+    """
+    keys = list(keys)
+    size = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if size > largest:
+        return rank_many(table, value, keys, rank)
+    return table.withColumn(rank, F.rank().over(Window.partitionBy(*keys).orderBy(F.desc_nulls_last(value))))
+
+
 def rank_many(
     df: DataFrame, value: str, keys: Iterable[str] = (), rank: str = "rank", slots: int = 64
 ) -> DataFrame:

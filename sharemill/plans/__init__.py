@@ -1 +1 @@
-"""Complete pipelines: tables in, one DataFrame out, no action."""
+"""Complete pipelines: tables in, one DataFrame out. Marts that need an intermediate twice stage it."""

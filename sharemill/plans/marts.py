@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sharemill.asof import AsOf
-from sharemill.functions.classify import bucket_code, classify, has_prefix, parent_override, rolled_up
+from sharemill.functions.classify import bucket_code, classify, parent_override, rolled_up
 from sharemill.functions.measures import fixed_point, null_to_zero, percent_of, truncate6
 from sharemill.functions.periods import Windows, oldest_year, period_index
 from sharemill.operators.aggregates import period_pivot, sum_by
@@ -15,12 +15,14 @@ from sharemill.operators.dimensions import (
     filter_eq,
     keep_groups,
     keep_members,
+    keep_prefixes,
     trim_dims,
 )
-from sharemill.operators.ranks import rank_few, rank_many
+from sharemill.operators.ranks import rank_few, rank_sized
 from sharemill.operators.totals import normalise_100, partition_total
 from sharemill.rules import DEFAULT_RULES, Rules
 from sharemill.settings import MartSettings
+from sharemill.sources.staging import staged
 
 TRIMMED = ("network", "channel", "genre", "regions", "targets")
 
@@ -72,35 +74,35 @@ def genre_share(
     and are then normalised to 100 over all networks, before the unreported ones are dropped.
     """
     windows = Windows.at(asof, settings)
-    shares = (
+    # read by the totals, the normalising sums and the rows themselves
+    sums = staged(
         facts.transform(trim_dims, TRIMMED)
         .transform(_needed, windows, settings)
-        .transform(sum_by, ["regions", _owner(rules).alias("network"), _period(settings)], "share_pct")
+        .transform(sum_by, ["regions", _owner(rules).alias("network"), _period(settings)], "share_pct"),
+        "genre-sums",
+    )
+    shares = (
         # rows without a network count in the total and are dropped after it
-        .transform(partition_total, ["regions", "period"], "share_pct", "total_pct")
+        sums.transform(partition_total, ["regions", "period"], "share_pct", "total_pct")
         .transform(drop_any_null)
     )
     share = fixed_point(F.col("share_pct"), settings.overflow)
     of_total = fixed_point(percent_of(F.col("share_pct"), F.col("total_pct")), settings.overflow)
-    label = classify(F.col("network"), rules.genre_labels)
-    ranked = (
+    kept = (
         shares.transform(
             period_pivot,
-            [label.alias("network")],
+            [classify(F.col("network"), rules.genre_labels).alias("network")],
             windows,
             ("mkt_share_cw", of_total),
             ("share_l4w", share),
             ("share_ytd", share),
-            # As an aggregate this test stays above the sums. As a plain filter on the key Spark would move it
-            # to the facts of this branch only, and the totals would need a second scan without it.
-            reported=F.bool_or(has_prefix(label, rules.kept_prefixes)),
         )
         .transform(normalise_100, ["share_l4w", "share_ytd"], settings.overflow)
-        .where("reported")
+        .transform(keep_prefixes, "network", rules.kept_prefixes)
     )
-    # The labels swallow the names the prefixes keep, unless the rules keep prefixes that no label covers.
+    # If every kept prefix belongs to a label, only the labels are left. Other rules may leave any number.
     few = all(any(_covers(pattern, prefix) for pattern, _ in rules.genre_labels) for prefix in rules.kept_prefixes)
-    ranked = rank_few(ranked, "mkt_share_cw") if few else rank_many(ranked, "mkt_share_cw")
+    ranked = rank_few(kept, "mkt_share_cw") if few else rank_sized(staged(kept, "genre-kept"), "mkt_share_cw")
     return ranked.select(
         "network", "rank", _cut("mkt_share_cw", settings), _cut("share_l4w", settings), _cut("share_ytd", settings)
     )
@@ -133,7 +135,7 @@ def channel_details(
         )
     )
     grp = F.col("grp")
-    ranked = (
+    pivoted = staged(
         weekly.transform(
             period_pivot,
             ["network", "channel", "genre", "market", "demography"],
@@ -141,10 +143,10 @@ def channel_details(
             ("grp", grp),
             ("grp_l4w", grp),
             ("grp_ytd", grp),
-        )
-        .withColumn("bucket", bucket_code(F.col("channel"), rules.buckets))
-        .transform(rank_many, "grp", ["bucket", "market", "demography"])
+        ).withColumn("bucket", bucket_code(F.col("channel"), rules.buckets)),
+        "channel-details",
     )
+    ranked = rank_sized(pivoted, "grp", ["bucket", "market", "demography"])
 
     def points(name: str) -> Column:
         return truncate6(null_to_zero(fixed_point(F.col(name), settings.overflow)), settings.null_measures).alias(name)
