@@ -418,6 +418,10 @@ from wide left join master m on wide.channel = m.channel""",
         "l_orderkey, l_linenumber, genre, share_pct, "
         "cast(rank() over (partition by genre order by share_pct desc nulls last) as integer) as rank"
     ),
+    "rank_all_rows": wide(
+        "l_orderkey, l_linenumber, l_extendedprice, "
+        "cast(rank() over (order by l_extendedprice desc nulls last) as integer) as rank"
+    ),
     "rank_bounded": (
         "select *, cast(rank() over (order by share_pct desc nulls last) as integer) as rank from ("
         + wide("regions, sum(share_pct) as share_pct", "where regions in ('ASIA', 'EUROPE', 'AFRICA') group by 1")

@@ -31,7 +31,7 @@ from sharemill.operators.aggregates import period_pivot, sum_by
 from sharemill.operators.enrich import enrich
 from sharemill.plans import cleaning, marts
 from sharemill.sources import schemas, sinks
-from sharemill.sources.staging import new_folder
+from sharemill.sources.staging import new_folder, staged
 from sharemill.sources.tables import open_table, period_slice
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -457,7 +457,14 @@ def _by_network(spark, sf_dir, *keys):
 
 @query
 def rank_global(spark, sf_dir):
-    return ranks.rank_many(_by_network(spark, sf_dir, "network", "channel", "targets"), "share_pct")
+    rows = staged(_by_network(spark, sf_dir, "network", "channel", "targets"), "rank-input")
+    return ranks.rank_sized(rows, "share_pct")
+
+
+@query
+def rank_all_rows(spark, sf_dir):
+    """Every line item in one ranking: a single group that holds all rows."""
+    return ranks.rank_many(facts(spark, sf_dir, (*LINE, "l_extendedprice")), "l_extendedprice")
 
 
 @query
@@ -477,7 +484,7 @@ def rank_bounded(spark, sf_dir):
 def rank_partitioned(spark, sf_dir):
     rows = _by_network(spark, sf_dir, "network", "channel", "genre", "regions")
     rows = rows.withColumn("bucket", names.bucket_code(F.col("channel"), RULES.buckets))
-    return ranks.rank_many(rows, "share_pct", ["bucket", "regions"])
+    return ranks.rank_sized(staged(rows, "rank-input"), "share_pct", ["bucket", "regions"])
 
 
 # --- checks ---

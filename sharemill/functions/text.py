@@ -16,9 +16,9 @@ def numeric_text(text: Column, numbers: str = "strict", python_numbers: bool = F
 
     ``strict`` raises on NULL, blank and garbage whatever the session's ANSI mode; ``lenient`` gives NULL.
     """
-    plain = F.regexp_replace(text.cast("string"), ",", "")
+    plain = F.replace(text.cast("string"), F.lit(","), F.lit(""))
     if python_numbers:
-        plain = F.when(plain.rlike(PYTHON_FLOAT), F.regexp_replace(plain, "_", ""))
+        plain = F.when(plain.rlike(PYTHON_FLOAT), F.replace(plain, F.lit("_"), F.lit("")))
     value = plain.try_cast("double")
     if numbers == "lenient":
         return value

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sharemill.sources.staging import staged
+
 
 def rank_few(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:
     """Rank over all rows in one task: only for frames whose row count is bounded by the rules."""
@@ -19,44 +21,44 @@ def rank_sized(
 ) -> DataFrame:
     """Rank within ``keys``, by a plain window while the largest group has at most ``largest`` rows.
 
-    Counting the groups is a job of its own, so ``table`` should be a written one.
+    The sizes come from jobs of their own, so ``table`` should be a written one: its row count is in the file
+    footers, and groups are only counted if all rows together exceed ``largest``.
     """
     keys = list(keys)
-    size = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    size = table.count()
+    if keys and size > largest:
+        size = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     if size > largest:
         return rank_many(table, value, keys, rank)
     return table.withColumn(rank, F.rank().over(Window.partitionBy(*keys).orderBy(F.desc_nulls_last(value))))
 
 
-def rank_many(
-    df: DataFrame, value: str, keys: Iterable[str] = (), rank: str = "rank", slots: int = 64
-) -> DataFrame:
+def rank_many(df: DataFrame, value: str, keys: Iterable[str] = (), rank: str = "rank") -> DataFrame:
     """Rank within ``keys`` (or over all rows) for groups of any size.
 
     A row's rank is one more than the number of rows of its group with a higher value. Equal values are
-    counted together first, with partial counts before the shuffle, so ties may be of any size. Quantiles of
-    the values then cut the value range into ``slots``, and no task has to sort more than one slot of one
-    group: rows above = rows in higher slots + rows with a higher value in the same slot. The cuts only
-    balance the work; any cuts give the same ranks.
+    counted together first, with partial counts before the shuffle, so ties may be of any size. The distinct
+    values are then range-partitioned, and a group is cut wherever a range ends, so that no task sorts more
+    than one range: rows above = rows in the ranges before + rows with a higher value in the same range. The
+    number of ranges follows the session's shuffle partitions.
+
+    The ranges come from a sample, so they are written once (one job) for all later steps to agree on them.
     """
     keys = list(keys)
-    counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-
-    cuts = df.agg(F.percentile_approx(value, [i / slots for i in range(1, slots)])).scalar()
-    passed = F.size(F.filter("_cuts", lambda cut: cut <= F.col(value)))
-    slotted = (
-        counted.withColumn("_cuts", cuts)
-        .withColumn("_slot", F.when(F.col(value).isNull(), F.lit(-1)).otherwise(F.coalesce(passed, F.lit(0))))
-        .drop("_cuts")
-        # one shuffle for both the sums per slot and the order within a slot
-        .repartition(*[F.col(key) for key in keys], "_slot")
+    slotted = staged(
+        df.groupBy(*keys, value)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .repartitionByRange(*keys, F.desc_nulls_last(value))
+        .withColumn("_slot", F.spark_partition_id()),
+        "rank-slots",
     )
 
-    higher_slots = Window.partitionBy(*keys).orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    slots_before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     per_slot = (
+        # one row per group and range it reaches into
         slotted.groupBy(*keys, "_slot")
         .agg(F.sum("_n").alias("_in_slot"))
-        .withColumn("_above", F.coalesce(F.sum("_in_slot").over(higher_slots), F.lit(0)))
+        .withColumn("_above", F.coalesce(F.sum("_in_slot").over(slots_before), F.lit(0)))
         .drop("_in_slot")
     )
 
@@ -66,8 +68,11 @@ def rank_many(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranked = (
-        _match(slotted, per_slot, [*keys, "_slot"])
-        .withColumn("_before", F.coalesce(F.sum("_n").over(higher_values), F.lit(0)))
+        _match(
+            slotted.withColumn("_before", F.coalesce(F.sum("_n").over(higher_values), F.lit(0))),
+            per_slot,
+            [*keys, "_slot"],
+        )
         .withColumn(rank, (F.col("_above") + F.col("_before") + 1).cast("int"))
         .select(*keys, value, rank)
     )

@@ -42,7 +42,7 @@ def network_share(
         .transform(_needed, windows, settings)
         .transform(
             sum_by,
-            [classify(_owner(rules), rules.network_labels).alias("network"), _period(settings)],
+            [classify(_owner(rules), rules.network_labels).alias("network"), _period_if_needed(windows, settings)],
             "share_pct",
         )
     )
@@ -129,7 +129,7 @@ def channel_details(
                 F.col("genre_fta_pay").alias("genre"),
                 F.col("regions").alias("market"),
                 F.col("targets").alias("demography"),
-                _period(settings),
+                _period_if_needed(windows, settings),
             ],
             "grp",
         )
@@ -149,7 +149,9 @@ def channel_details(
     ranked = rank_sized(pivoted, "grp", ["bucket", "market", "demography"])
 
     def points(name: str) -> Column:
-        return truncate6(null_to_zero(fixed_point(F.col(name), settings.overflow)), settings.null_measures).alias(name)
+        # only a missing value becomes zero: a value without a fixed-point form (NaN) is still a NULL
+        value = F.when(F.col(name).isNotNull(), fixed_point(F.col(name), settings.overflow)).otherwise(F.lit(0))
+        return truncate6(value, settings.null_measures).alias(name)
 
     return ranked.select(
         "network",
@@ -175,6 +177,16 @@ def _period(settings: MartSettings) -> Column:
     return period_index(year, week, settings.calendar).alias("period")
 
 
+def _period_if_needed(windows: Windows, settings: MartSettings) -> Column:
+    """NULL for all periods that no average looks at.
+
+    A group's older history then shrinks to one row in the partial sums, however long it is; that row keeps the
+    group in the result and is in none of its averages.
+    """
+    period = _period(settings)
+    return F.when(windows.is_needed(period), period).alias("period")
+
+
 def _needed(facts: DataFrame, windows: Windows, settings: MartSettings) -> DataFrame:
     if not settings.prune_history:
         return facts
