@@ -325,8 +325,9 @@ ORACLE: dict[str, str] = {
         f"""l_orderkey, l_linenumber, cast(null as double) as guarded, {_number_or_null('"spotty%"')} as share_pct"""
     ),
     "rejected_rows": wide(
-        'l_orderkey, l_linenumber, "rat%", "spotty%"',
-        f"""where {_number_or_null('"rat%"')} is null or {_number_or_null('"spotty%"')} is null""",
+        'l_orderkey, l_linenumber, marked_channel as channel, "rat%", "spotty%"',
+        f"""where ({_number_or_null('"rat%"')} is null or {_number_or_null('"spotty%"')} is null)
+          and not (marked_channel like '%(na)%')""",
     ),
     "cast_period": wide(
         "l_orderkey, l_linenumber, cast(year_text as bigint) as year_of_week, cast(week_padded as bigint) as week_no"

@@ -134,7 +134,8 @@ def clean_numeric_guarded(spark, sf_dir):
 
 @query
 def rejected_rows(spark, sf_dir):
-    feed = facts(spark, sf_dir, (*LINE, "rat%", "spotty%"))
+    columns = {**dict(zip(LINE, LINE)), "channel": "marked_channel", "rat%": "rat%", "spotty%": "spotty%"}
+    feed = facts(spark, sf_dir, columns)
     return cleaning.rejected_rows(feed, ("rat%", "spotty%"))
 
 

@@ -1,10 +1,10 @@
-"""Data checks as real jobs, and metrics that ride on a write."""
+"""Data checks as real jobs."""
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -23,6 +23,16 @@ def check_schema(df: DataFrame, expected: StructType) -> DataFrame:
     return df
 
 
+def as_declared(df: DataFrame, declared: StructType) -> DataFrame:
+    """Cast columns to their declared types where they have others (a week kept as int); fail on missing ones."""
+    actual = {field.name.lower(): field.dataType for field in df.schema.fields}
+    missing = [field.name for field in declared.fields if field.name.lower() not in actual]
+    if missing:
+        raise ValueError("missing columns: " + ", ".join(missing))
+    other = [field for field in declared.fields if actual[field.name.lower()] != field.dataType]
+    return df.withColumns({field.name: F.col(f"`{field.name}`").cast(field.dataType) for field in other})
+
+
 def preview(df: DataFrame, rows: int, order: Iterable[str | Column]) -> DataFrame:
     """The first rows under a total order."""
     return df.orderBy(*order).limit(rows)
@@ -38,11 +48,6 @@ def check_count(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def observed(df: DataFrame, observation: Observation, **metrics: Column) -> DataFrame:
-    """Collect metrics while the next action runs, instead of in a job of their own."""
-    return df.observe(observation, *[metric.alias(name) for name, metric in metrics.items()])
-
-
 def duplicate_keys(master: DataFrame, key: Column) -> DataFrame:
     """Key values that occur more than once, with their counts (NULL keys never match and do not count)."""
     return (

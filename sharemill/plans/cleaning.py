@@ -59,9 +59,18 @@ def clean_genre_facts(
     return _enriched(facts, master, False, settings)
 
 
-def rejected_rows(feed: DataFrame, texts: tuple[str, ...], settings: CleanSettings = CleanSettings()) -> DataFrame:
-    """Feed rows with a number the lenient mode turns into NULL, to be written to a table of their own."""
-    return rejected_numbers(feed, texts, lambda c: numeric_text(c, "lenient", settings.python_numbers))
+def rejected_rows(
+    feed: DataFrame,
+    texts: tuple[str, ...],
+    settings: CleanSettings = CleanSettings(),
+    asof: AsOf | None = None,
+    week: str = "week_no",
+) -> DataFrame:
+    """Feed rows, of one period or of all, with a number the lenient mode turns into NULL."""
+    if asof is not None:
+        feed = period_slice(feed, asof, week=week)
+    feed = feed.transform(exclude_marker, "channel", ignore_case=settings.ignore_case)
+    return rejected_numbers(feed, texts, lambda text: numeric_text(text, "lenient", settings.python_numbers))
 
 
 def _number(name: str, settings: CleanSettings) -> Column:

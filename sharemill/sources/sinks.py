@@ -12,13 +12,16 @@ PERIOD_FOLDER = "P_YEAR_OF_WEEK={year}/P_WEEK_NO={week}"
 SNAPSHOT_FOLDER = "P_YEAR_OF_WEEK=0000/P_WEEK_NO=00"
 
 
-def write_period(df: DataFrame, base: str, asof: AsOf) -> str:
+def write_period(df: DataFrame, base: str, asof: AsOf, compact: bool = False) -> str:
     """Replace the folder of one period (also with no rows) and return its path. Weeks are not zero-padded.
 
-    The rows are written by the tasks that computed them; only a report gathers into few files.
+    The rows are written by the tasks that computed them. ``compact`` shuffles them into files of
+    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` first: worth it where a filter leaves most tasks with
+    few rows.
     """
     path = f"{base.rstrip('/')}/{PERIOD_FOLDER.format(year=asof.year, week=asof.week)}"
-    df.write.mode("overwrite").parquet(path)
+    rows = df.hint("rebalance") if compact else df
+    rows.write.mode("overwrite").parquet(path)
     return path
 
 

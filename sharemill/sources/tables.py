@@ -7,18 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from sharemill.asof import AsOf
-from sharemill.operators.checks import check_schema
+from sharemill.operators.checks import as_declared
 
 
 def open_table(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
     """A catalog table (``database.table``) or, if the name holds a slash, a Parquet folder.
 
-    A declared schema is checked against a catalog table, and handed to the reader for a folder, which then
-    needs no inference job; partition columns in folder names are added by Spark.
+    A catalog table's columns are brought to the declared types; for a folder the declared schema goes to the
+    reader, which then needs no inference job. Partition columns in folder names are added by Spark.
     """
     if "/" not in name:
         table = spark.read.table(name)
-        return table if schema is None else check_schema(table, schema)
+        return table if schema is None else as_declared(table, schema)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(name)
 
