@@ -154,7 +154,10 @@ def _facts(named: bool, columns: str) -> str:
     return f"select {chosen} from ({WIDE}) wide"
 
 
-def network_share(asof: AsOf = AS_OF, settings: MartSettings = MartSettings(), named: bool = False) -> str:
+def network_share(
+    asof: AsOf = AS_OF, settings: MartSettings = MartSettings(), named: bool = False, source: str | None = None
+) -> str:
+    """``source`` is SQL giving the clean facts; without it they come from the test tables."""
     rules = DEFAULT_RULES if named else RULES
     columns = "network, network1, regions, targets, year_of_week, week_no, share_pct"
     measures = {
@@ -162,7 +165,7 @@ def network_share(asof: AsOf = AS_OF, settings: MartSettings = MartSettings(), n
     }
     universe = " and ".join(f"{column} = {_text(value)}" for column, value in rules.universe.items())
     return f"""
-with facts as ({_facts(named, columns)}),
+with facts as ({source or _facts(named, columns)}),
 by_network as (
   select {_owner(rules)} as network, week_no, year_of_week, {_index(settings.calendar)} as period,
     sum(share_pct) as share_pct
@@ -178,7 +181,11 @@ from kept"""
 
 
 def genre_share(
-    asof: AsOf = AS_OF, settings: MartSettings = MartSettings(), named: bool = False, rules: Rules | None = None
+    asof: AsOf = AS_OF,
+    settings: MartSettings = MartSettings(),
+    named: bool = False,
+    rules: Rules | None = None,
+    source: str | None = None,
 ) -> str:
     rules = rules or (DEFAULT_RULES if named else RULES)
     columns = "network, network1, regions, year_of_week, week_no, share_pct"
@@ -189,7 +196,7 @@ def genre_share(
     }
     prefixes = " or ".join(f"upper(network) like {_text(prefix + '%')}" for prefix in rules.kept_prefixes)
     return f"""
-with facts as ({_facts(named, columns)}),
+with facts as ({source or _facts(named, columns)}),
 by_region as (
   select regions, {_owner(rules)} as network, {_index(settings.calendar)} as period, sum(share_pct) as share_pct
   from facts group by all),
@@ -212,12 +219,14 @@ select network, cast(rank() over (order by cw desc nulls last) as integer) as ra
 from normalised where {prefixes}"""
 
 
-def channel_details(asof: AsOf = AS_OF, settings: MartSettings = MartSettings(), named: bool = False) -> str:
+def channel_details(
+    asof: AsOf = AS_OF, settings: MartSettings = MartSettings(), named: bool = False, source: str | None = None
+) -> str:
     rules = DEFAULT_RULES if named else RULES
     columns = "network, channel, genre_fta_pay, regions, targets, year_of_week, week_no, grp"
     bounds = _bounds(asof, settings)
     return f"""
-with facts as ({_facts(named, columns)}),
+with facts as ({source or _facts(named, columns)}),
 weekly as (
   select network, {_roll_up(rules.roll_up)} as channel, genre_fta_pay as genre, regions as market,
     targets as demography, {_index(settings.calendar)} as period, sum(grp) as grp
@@ -276,24 +285,41 @@ select l_orderkey, l_linenumber, marked_channel as channel, share_pct, {M_ATTRIB
 from wide left join master m on marked_channel = m.channel"""
 
 
-def _clean_channel(share: str, master_condition: str, kept: str) -> str:
+def _clean_channel(share: str, master_condition: str, kept: str, grp: str = '"rat%"') -> str:
     return f"""
 with wide as ({WIDE}), master as ({MASTER})
 select marked_channel as channel, cast(week_padded as bigint) as week_no, targets, regions,
-  {_number('"rat%"')} as grp, {share} as share_pct, cast(year_text as bigint) as year_of_week, {M_ATTRIBUTES}
+  {_number(grp)} as grp, {share} as share_pct, cast(year_text as bigint) as year_of_week, {M_ATTRIBUTES}
 from wide left join master m on {master_condition}
 where year_text = '{AS_OF.year}' and week_text = '{AS_OF.week}' and {kept}"""
 
 
-def _clean_genre(kept: str, master_condition: str) -> str:
+def _clean_genre(kept: str, master_condition: str, share: str = '"tax%"') -> str:
     return f"""
 with wide as ({WIDE}), master as ({MASTER})
-select marked_channel as channel, week_text as week_no, regions, {_number('"tax%"')} as share_pct,
+select marked_channel as channel, week_text as week_no, regions, {_number(share)} as share_pct,
   cast(year_text as bigint) as year_of_week, {M_ATTRIBUTES}
 from wide left join master m on {master_condition}
 where {kept}"""
 
 
+def _weekly_run() -> str:
+    kept = "not (marked_channel like '%(na)%')"
+    share = '"shr%"'
+    channels = _clean_channel(_number(share), "upper(marked_channel) = upper(m.channel)", kept, grp=share)
+    genres = _clean_genre(kept, "marked_channel = m.channel", share)
+    genres = f"select * replace (cast(week_no as bigint) as week_no) from ({genres}) g"
+    measures = "mkt_share_cw as current, share_l4w as trailing, share_ytd as year"
+    return f"""
+select 'network' as mart, network as name, null as market, null as demography, rank, {measures}
+from ({network_share(source=channels)}) n
+union all
+select 'genre', network, null, null, rank, {measures} from ({genre_share(source=genres)}) g
+union all
+select 'details', network || '/' || channel || '/' || genre, market, demography, rank, grp, grp_l4w, grp_ytd
+from ({channel_details(source=channels)}) d"""
+
+
 ORACLE: dict[str, str] = {
     "scan_facts": wide(
         "l_orderkey, l_linenumber, channel, network, network1, genre, genre_fta_pay, regions, targets, year_of_week, "
@@ -473,4 +499,5 @@ _MART_SQL = {"network_share": network_share, "genre_share": genre_share, "channe
 for _mart in MARTS:
     for _suffix, _arguments in VARIANTS.items():
         ORACLE[_mart + _suffix] = _MART_SQL[_mart](**_arguments)
+ORACLE["weekly_run"] = _weekly_run()
 ORACLE["genre_share_open"] = genre_share(rules=OPEN_RULES)

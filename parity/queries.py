@@ -22,7 +22,7 @@ from parity.stand_in import (
     iso_year,
     table,
 )
-from sharemill import DEFAULT_RULES, AsOf, CleanSettings, MartSettings
+from sharemill import DEFAULT_RULES, AsOf, CleanSettings, MartSettings, jobs
 from sharemill.functions import classify as names
 from sharemill.functions import measures, text
 from sharemill.functions.periods import Windows, period_index
@@ -600,3 +600,47 @@ for _mart_name, _builder in MARTS.items():
     for _suffix, _arguments in VARIANTS.items():
         QUERIES[_mart_name + _suffix] = _builder(**_arguments)
 QUERIES["genre_share_open"] = genre_mart(rules=OPEN_RULES)
+
+
+@query
+def weekly_run(spark, sf_dir):
+    """Both jobs for one week: raw feeds and master in, clean facts, and the three marts as written."""
+    base = new_folder(spark, "weekly")
+    facts(spark, sf_dir, {**CHANNEL_FEED, "rat%": "shr%"}).write.parquet(f"{base}/channel-feed")
+    facts(spark, sf_dir, {**GENRE_FEED, "shr%": "shr%"}).write.parquet(f"{base}/genre-feed")
+    channel_master(spark, sf_dir).write.parquet(f"{base}/master")
+    jobs.clean(
+        spark,
+        AS_OF,
+        channel_feed=f"{base}/channel-feed",
+        genre_feed=f"{base}/genre-feed",
+        master=f"{base}/master",
+        output=base,
+    )
+    jobs.build_marts(
+        spark,
+        AS_OF,
+        channel_facts=f"{base}/{jobs.CHANNEL_FACTS}",
+        genre_facts=f"{base}/{jobs.GENRE_FACTS}",
+        output=base,
+        rules=RULES,
+    )
+
+    def written(name, schema, mart, label, measures, *places):
+        columns = [F.lit(mart).alias("mart"), label.alias("name")]
+        columns += [place.alias(name) for place, name in zip(places or (F.lit(None),) * 2, ("market", "demography"))]
+        columns += ["rank", *[F.col(m).alias(n) for m, n in zip(measures, ("current", "trailing", "year"))]]
+        return open_table(spark, f"{base}/{name}", schema).select(*columns)
+
+    shares = ("mkt_share_cw", "share_l4w", "share_ytd")
+    name = F.concat_ws("/", "network", "channel", "genre")
+    return (
+        written(jobs.NETWORK_SHARE, schemas.NETWORK_SHARE, "network", F.col("network"), shares)
+        .unionByName(written(jobs.GENRE_SHARE, schemas.GENRE_SHARE, "genre", F.col("network"), shares))
+        .unionByName(
+            written(
+                jobs.CHANNEL_DETAILS, schemas.CHANNEL_DETAILS, "details", name, ("grp", "grp_l4w", "grp_ytd"),
+                F.col("market"), F.col("demography"),
+            )
+        )
+    )
