@@ -32,6 +32,9 @@ NETWORK_SHARE = "LA_NETWORK_SHARE"
 GENRE_SHARE = "LA_NETWORK_GENRE_SHARE"
 CHANNEL_DETAILS = "LA_CHANNEL_DETAILS"
 
+# What the network share mart filters on.
+CLUSTER = ("targets", "regions")
+
 
 def clean(
     spark: SparkSession,
@@ -59,12 +62,14 @@ def clean(
     paths = {}
     for name, rows in facts.items():
         rows = check_schema(rows, declared[name])
-        paths[name] = write_period(rows, f"{output}/{name}", asof, compact=sliced[name])
+        # a sliced feed leaves few rows per task; an unsliced one is written as it is read
+        cluster = [column for column in CLUSTER if column in rows.columns] if sliced[name] else None
+        paths[name] = write_period(rows, f"{output}/{name}", asof, cluster)
         if settings.numbers == "lenient":
             feed, texts = feeds[name]
             week = "week_no" if name == CHANNEL_FACTS else "week"
             rejected = cleaning.rejected_rows(feed, texts, settings, asof if sliced[name] else None, week)
-            paths[f"{name}_REJECTED"] = write_period(rejected, f"{output}/{name}_REJECTED", asof, compact=True)
+            paths[f"{name}_REJECTED"] = write_period(rejected, f"{output}/{name}_REJECTED", asof, cluster=())
     return paths
 
 

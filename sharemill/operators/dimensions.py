@@ -27,12 +27,13 @@ def filter_eq(df: DataFrame, values: Mapping[str, str], trimmed: bool = False) -
     """Rows whose columns equal the given texts exactly.
 
     With ``trimmed`` the comparison ignores surrounding spaces. A computed comparison cannot reach the
-    Parquet scan, so the weaker test ``contains``, which it implies and which can, goes along with it.
+    Parquet scan, so a weaker test that it implies goes along with it: the text starts with the value or with
+    a space. The scan can check that against minimum and maximum and skip row groups and pages.
     """
     for name, value in values.items():
         column = F.col(name)
         if trimmed:
-            df = df.where(column.contains(value) & (F.trim(column) == value))
+            df = df.where((column.startswith(value) | column.startswith(" ")) & (F.trim(column) == value))
         else:
             df = df.where(column == value)
     return df

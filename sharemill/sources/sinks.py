@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +14,20 @@ PERIOD_FOLDER = "P_YEAR_OF_WEEK={year}/P_WEEK_NO={week}"
 SNAPSHOT_FOLDER = "P_YEAR_OF_WEEK=0000/P_WEEK_NO=00"
 
 
-def write_period(df: DataFrame, base: str, asof: AsOf, compact: bool = False) -> str:
+def write_period(df: DataFrame, base: str, asof: AsOf, cluster: Sequence[str] | None = None) -> str:
     """Replace the folder of one period (also with no rows) and return its path. Weeks are not zero-padded.
 
-    The rows are written by the tasks that computed them. ``compact`` shuffles them into files of
-    ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` first: worth it where a filter leaves most tasks with
-    few rows.
+    By default the rows are written by the tasks that computed them. With ``cluster`` they are shuffled into
+    files of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` first, which pays where a filter leaves most
+    tasks with few rows. If it names columns, rows alike in them share files and lie together, so that readers
+    filtering on them skip the rest; a combination too large for one file is split.
     """
     path = f"{base.rstrip('/')}/{PERIOD_FOLDER.format(year=asof.year, week=asof.week)}"
-    rows = df.hint("rebalance") if compact else df
-    rows.write.mode("overwrite").parquet(path)
+    if cluster is not None:
+        df = df.hint("rebalance", *cluster)
+    if cluster:
+        df = df.sortWithinPartitions(*cluster)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 

@@ -50,7 +50,7 @@ def test_marker_and_universe_reach_the_scan(spark, history):
     scan = scans(dimensions.exclude_marker(history, "channel"))
     assert "Not(StringContains(channel,(na)))" in scan
     scan = scans(marts.network_share(history, AS_OF, RULES))
-    assert "StringContains(targets,BUILDING)" in scan and "StringContains(regions,ASIA)" in scan
+    assert "StringStartsWith(targets,BUILDING)" in scan and "StringStartsWith(regions,ASIA)" in scan
 
 
 def test_marts_read_only_their_columns(spark, history):
