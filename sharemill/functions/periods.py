@@ -36,10 +36,12 @@ def index_of(year: int, week: int, calendar: str = "compat") -> int:
 
 
 def oldest_year(index: int, calendar: str = "compat") -> int:
-    """The earliest year a week at or after ``index`` can belong to."""
+    """The earliest year a week at or after ``index`` can be counted in, with week numbers up to 53."""
     if calendar == "compat":
         return -(-(index - 53) // 52)
-    return (EPOCH_MONDAY + timedelta(weeks=index)).isocalendar().year
+    year = (EPOCH_MONDAY + timedelta(weeks=index)).isocalendar().year
+    # a week 53 in a year of 52 weeks has the index of the next year's first week
+    return year - 1 if index_of(year - 1, 53, "iso") >= index else year
 
 
 @dataclass(frozen=True)
