@@ -125,6 +125,7 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     cleaning_job, mart_job = jobs.add_parser("clean"), jobs.add_parser("marts")
     for job in (cleaning_job, mart_job):
         job.add_argument("--as-of", type=AsOf.parse, default=None, help="YYYY-Www; default: the week before today's")
+        job.add_argument("--previous-iso-week", action="store_true", help="default to the real week before, not week 0")
         job.add_argument("--output", required=True)
     for option in ("--channel-feed", "--genre-feed", "--master"):
         cleaning_job.add_argument(option, required=True)
@@ -135,7 +136,8 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
     options = parser.parse_args(arguments)
 
     spark = spark or SparkSession.builder.appName(f"sharemill {options.job}").getOrCreate()
-    asof = options.as_of or AsOf.week_before(date.today())
+    week_before = AsOf.previous_iso_week if options.previous_iso_week else AsOf.week_before
+    asof = options.as_of or week_before(date.today())
     if options.job == "clean":
         return clean(
             spark,

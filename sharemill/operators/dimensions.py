@@ -14,8 +14,8 @@ from sharemill.functions.text import contains_marker
 
 def trim_dims(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     """Strip spaces (not tabs) from both ends of the named columns, leaving out those the frame lacks."""
-    present = set(df.columns)
-    return df.withColumns({name: F.trim(F.col(name)) for name in columns if name in present})
+    present = {name.lower() for name in df.columns}
+    return df.withColumns({name: F.trim(F.col(name)) for name in columns if name.lower() in present})
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

@@ -18,12 +18,8 @@ def sql_engine(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return engine
 
 
-def _kind(kind: pa.DataType) -> str:
-    if pa.types.is_integer(kind):
-        return "whole"
-    if pa.types.is_large_string(kind) or pa.types.is_string(kind):
-        return "text"
-    return "decimal" if pa.types.is_decimal(kind) else str(kind)
+def _kinds(table: pa.Table) -> dict[str, str]:
+    return {field.name: str(field.type).removeprefix("large_") for field in table.schema}
 
 
 def _value(value):
@@ -44,10 +40,9 @@ def differences(result: DataFrame, engine: duckdb.DuckDBPyConnection, sql: str)
     ours = result.toArrow()
     theirs = engine.sql(sql).to_arrow_table()
     found = []
-    kinds = [{name: _kind(table.schema.field(name).type) for name in table.column_names} for table in (ours, theirs)]
-    if kinds[0] != kinds[1]:
-        found.append(f"columns: {kinds[0]} / {kinds[1]}")
-        if set(kinds[0]) != set(kinds[1]):
+    if _kinds(ours) != _kinds(theirs):
+        found.append(f"columns: {_kinds(ours)} / {_kinds(theirs)}")
+        if set(ours.column_names) != set(theirs.column_names):
             return found
     if ours.num_rows != theirs.num_rows:
         found.append(f"rows: {ours.num_rows} / {theirs.num_rows}")

@@ -106,6 +106,20 @@ def test_catalog_tables(spark, tables):
     assert spark.read.parquet(paths["LA_CHANNEL_TBL"]).count() == 2
 
 
+@pytest.mark.parametrize("flags, week", [([], AsOf(2020, 0)), (["--previous-iso-week"], AsOf(2019, 52))])
+def test_default_week(monkeypatch, flags, week):
+    class January(jobs.date):
+        @classmethod
+        def today(cls):
+            return cls(2020, 1, 1)
+
+    asked = []
+    monkeypatch.setattr(jobs, "date", January)
+    monkeypatch.setattr(jobs, "build_marts", lambda spark, asof, **rest: asked.append(asof))
+    jobs.main(["marts", "--output", "/x", *flags], spark=object())
+    assert asked == [week]
+
+
 def test_default_settings_match_the_command_line():
     import argparse
 

@@ -35,6 +35,11 @@ def test_trim_takes_spaces_only_and_skips_missing_columns(spark):
     assert pairs(found, "channel") == Counter([("a",), ("\tb",)])
 
 
+def test_trim_finds_columns_in_any_case(spark):
+    found = dimensions.trim_dims(channels(spark, " a").withColumnRenamed("channel", "Channel"), ["channel"])
+    assert [tuple(row) for row in found.collect()] == [("a",)]
+
+
 def test_marker_is_lower_case_only(spark):
     rows = channels(spark, "a(na)", "b(NA)", "c", None)
     assert pairs(dimensions.exclude_marker(rows, "channel"), "channel") == Counter([("b(NA)",), ("c",)])
