@@ -42,9 +42,16 @@ LINE = ("l_orderkey", "l_linenumber")
 QUERIES: dict[str, Query] = {}
 
 
+def registered(name: str) -> Callable[[Query], Query]:
+    def register(function: Query) -> Query:
+        QUERIES[name] = function
+        return function
+
+    return register
+
+
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    return registered(function.__name__)(function)
 
 
 def _period(calendar: str = "compat") -> Column:
@@ -59,15 +66,12 @@ def scan_facts(spark, sf_dir):
     return facts(spark, sf_dir, (*LINE, *FACT_COLUMNS))
 
 
-@query
+@registered("period_slice")
 def period_slice_rows(spark, sf_dir):
     feed = facts(spark, sf_dir, {"l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber", **CHANNEL_FEED})
     return period_slice(feed, AS_OF).select(*LINE, "channel", "year_of_week", "week_no")
 
 
-QUERIES["period_slice"] = QUERIES.pop("period_slice_rows")
-
-
 @query
 def partition_sink(spark, sf_dir):
     """All weeks are written, then one of them again with doubled shares."""
@@ -207,15 +211,12 @@ def bucket_lookup(spark, sf_dir):
     return _named_channels(spark, sf_dir).withColumn("group_ch", names.bucket_code(label, DEFAULT_RULES.buckets))
 
 
-@query
+@registered("period_index")
 def period_index_compat(spark, sf_dir):
     rows = facts(spark, sf_dir, (*LINE, "year_of_week", "week_no"))
     return rows.withColumn("period", _period())
 
 
-QUERIES["period_index"] = QUERIES.pop("period_index_compat")
-
-
 @query
 def period_index_iso(spark, sf_dir):
     rows = facts(spark, sf_dir, (*LINE, "year_of_week", "week_no"))
@@ -376,14 +377,11 @@ def _pivot(weekly, keys, asof, settings=MartSettings()):
     return period_pivot(weekly, keys, windows, ("cw", share), ("l4w", share), ("ytd", share))
 
 
-@query
+@registered("period_pivot")
 def period_pivot_default(spark, sf_dir):
     return _pivot(resum_by_group(spark, sf_dir), ["network"], AS_OF)
 
 
-QUERIES["period_pivot"] = QUERIES.pop("period_pivot_default")
-
-
 @query
 def period_pivot_no_ytd(spark, sf_dir):
     """No event lies in or after week 14, so every year-to-date average is NULL."""

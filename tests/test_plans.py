@@ -69,6 +69,19 @@ def test_period_slice_prunes_folders(spark, history):
     assert len(sliced.inputFiles()) >= 1
 
 
+def test_catalog_slice_prunes_though_types_differ(spark, sf_dir):
+    """The declared week is text and the catalog's an int; the cast does not cost the pruning."""
+    rows = facts(spark, sf_dir, {**CHANNEL_FEED, "week_no": "week_no", "year_of_week": "year_of_week"})
+    kept = rows.where("year_of_week = 1998 and week_no between 38 and 41")
+    kept = kept.withColumns({name: F.col(name).cast("int") for name in ("year_of_week", "week_no")})
+    kept.write.mode("overwrite").partitionBy("year_of_week", "week_no").saveAsTable("weekly_feed")
+    table = open_table(spark, "weekly_feed", schemas.RAW_CHANNEL_FEED)
+    sliced = period_slice(table, AS_OF)
+    assert sliced.count() == kept.where("week_no = 40").count() > 0
+    assert all("week_no=40" in file for file in sliced.inputFiles())
+    assert any("week_no=38" in file for file in table.inputFiles())
+
+
 def test_master_is_broadcast_by_size_only(spark, sf_dir):
     # a written master has a known size; the fact side is not shuffled for a small one
     rows = facts(spark, sf_dir, ("channel", "share_pct"))
