@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from parity import stand_in
 from parity.stand_in import (
     CHANNEL_FEED,
     FACT_COLUMNS,
@@ -158,7 +157,10 @@ def project_rename(spark, sf_dir):
     rows = facts(spark, sf_dir, (*LINE, "channel", "week_no", "regions"))
     return dimensions.rename(
         rows,
-        {"order_id": "l_orderkey", "line": "l_linenumber", "channel_temp": "channel", "week": "week_no", "market": "regions"},
+        {
+            "order_id": "l_orderkey", "line": "l_linenumber", "channel_temp": "channel", "week": "week_no",
+            "market": "regions",
+        },
     )
 
 

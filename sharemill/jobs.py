@@ -90,14 +90,16 @@ def build_marts(
     output = output.rstrip("/")
     channels = open_table(spark, channel_facts, schemas.CHANNEL_FACTS)
     genres = open_table(spark, genre_facts, schemas.GENRE_FACTS)
+    # a genre folder may hold weeks of any year, so its name says nothing about the rows
+    genre_settings = dataclasses.replace(settings, year_folder=None)
     builds = {
-        NETWORK_SHARE: (marts.network_share, channels, schemas.NETWORK_SHARE),
-        GENRE_SHARE: (marts.genre_share, genres, schemas.GENRE_SHARE),
-        CHANNEL_DETAILS: (marts.channel_details, channels, schemas.CHANNEL_DETAILS),
+        NETWORK_SHARE: (marts.network_share, channels, settings, schemas.NETWORK_SHARE),
+        GENRE_SHARE: (marts.genre_share, genres, genre_settings, schemas.GENRE_SHARE),
+        CHANNEL_DETAILS: (marts.channel_details, channels, settings, schemas.CHANNEL_DETAILS),
     }
     written = {}
-    for name, (build, facts, declared) in builds.items():
-        mart = check_schema(build(facts, asof, rules, settings), declared)
+    for name, (build, facts, chosen, declared) in builds.items():
+        mart = check_schema(build(facts, asof, rules, chosen), declared)
         written[name] = open_table(spark, write_snapshot(mart, f"{output}/{name}"), declared)
     return {
         "genre_share_ytd": check_total(written[GENRE_SHARE], "share_ytd").first()[0],

@@ -192,6 +192,8 @@ def _needed(facts: DataFrame, windows: Windows, settings: MartSettings) -> DataF
         return facts
     # the bound on the plain column follows from the exact test (weeks go up to 53) and can reach the scan
     oldest = oldest_year(min(windows.trailing_from, windows.current, windows.ytd_from), settings.calendar)
+    if settings.year_folder is not None:
+        facts = facts.where(F.col(settings.year_folder) >= oldest)
     return facts.where((F.col("year_of_week") >= oldest) & windows.is_needed(_period(settings)))
 
 

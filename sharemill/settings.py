@@ -36,6 +36,7 @@ class MartSettings:
     ytd_week       first week of the year-to-date average
     ytd_upper      None leaves year-to-date open above; "asof" ends it at the current week
     prune_history  read only the periods some measure needs; groups without rows there disappear
+    year_folder    partition column that holds the same year as year_of_week in every row; pruning then skips folders
     null_measures  "keep" lets a NULL measure through; "fail" stops the job
     overflow       "raise" or "null" when a measure does not fit DECIMAL(18,7)
     """
@@ -45,5 +46,6 @@ class MartSettings:
     ytd_week: int = 14
     ytd_upper: str | None = None
     prune_history: bool = False
+    year_folder: str | None = None
     null_measures: str = "keep"
     overflow: str = "raise"

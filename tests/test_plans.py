@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from parity.queries import CHANNEL_FEED, QUERIES
 from parity.stand_in import RULES, channel_master, facts
-from sharemill import AsOf
+from sharemill import AsOf, MartSettings
 from sharemill.functions.text import numeric_text
 from sharemill.operators import dimensions
 from sharemill.operators.enrich import enrich
@@ -82,6 +82,15 @@ def test_catalog_slice_prunes_though_types_differ(spark, sf_dir):
     assert any("week_no=38" in file for file in table.inputFiles())
 
 
+def test_pruned_history_skips_folders(spark, history):
+    settings = MartSettings(prune_history=True, year_folder="P_YEAR_OF_WEEK")
+    pruned = marts.network_share(history, AsOf(2000, 20), RULES, settings)
+    partition_filters = re.search(r"PartitionFilters: \[([^\n]*)", scans(pruned))[1]
+    assert "P_YEAR_OF_WEEK" in partition_filters and ">= 2000" in partition_filters
+    plain = marts.network_share(history, AsOf(2000, 20), RULES, MartSettings(prune_history=True))
+    assert sorted(map(str, pruned.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_master_is_broadcast_by_size_only(spark, sf_dir):
     # a written master has a known size; the fact side is not shuffled for a small one
     rows = facts(spark, sf_dir, ("channel", "share_pct"))
