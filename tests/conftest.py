@@ -5,10 +5,14 @@ import sys
 from pathlib import Path
 
 import pytest
+from hypothesis import settings
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+settings.register_profile("repeatable", derandomize=True, database=None)
+settings.load_profile("repeatable")
+
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
