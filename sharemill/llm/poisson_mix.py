@@ -42,10 +42,10 @@ def target_rates(
         for name, weight in weights.items():
             given = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(weight))).otherwise(given)
         weighed = sizes.withColumn("weight", given)
-    sums = weighed.agg(F.sum("weight").alias("weights"), F.sum("n_docs").alias("docs"))
-    wanted = F.col("docs").cast("double") if total is None else F.lit(float(total))
-    share = F.when(F.col("weights") > 0, F.col("weight") / F.col("weights")).otherwise(F.lit(0.0))
-    return weighed.join(F.broadcast(sums), F.lit(True)).select("source", "n_docs", (share * wanted / F.col("n_docs")).alias("rate"))
+    sums = weighed.agg(F.sum("weight").alias("weights"), F.sum("n_docs").alias("docs")).first()
+    wanted = float(sums["docs"] or 0) if total is None else float(total)
+    share = F.col("weight") / F.lit(sums["weights"]) if sums["weights"] else F.lit(0.0)
+    return weighed.select("source", "n_docs", (share * F.lit(wanted) / F.col("n_docs")).alias("rate"))
 
 
 def with_distribution(rates: DataFrame) -> DataFrame:

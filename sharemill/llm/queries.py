@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sharemill.llm.compression_toxicity import toxicity
 from sharemill.llm.histogram_topk import top_k
 from sharemill.llm.poisson_mix import poisson_mix
 from sharemill.llm.tables import table
@@ -20,6 +21,10 @@ def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson_mix(table(spark, sf_dir, "documents"))
 
 
+def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -36,6 +41,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_poisson_mix": op2_poisson_mix,
+    "op3_compression_toxicity": op3_compression_toxicity,
     "op5_histogram_topk": op5_histogram_topk,
     "op9_token_counts": op9_token_counts,
 }
