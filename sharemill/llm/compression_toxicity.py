@@ -16,9 +16,10 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sharemill.llm.splits import held_out
 from sharemill.llm.words import pieces, utf8
 
 CLEAR = (2, 3, 4, 5, 6, 8)
@@ -55,11 +56,6 @@ class Model:
     prior: float
 
 
-def train_row(doc_id: Column) -> Column:
-    """Rows to learn from: crc32 of the id as text is no multiple of 5."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 5 != 0
-
-
 def windows(text: bytes | None, size: int) -> Iterator[bytes]:
     """Pieces of about ``size`` bytes, cut at white space, A-Z in lower case; very long words are cut up."""
     for piece in pieces(text or b"", size):
@@ -120,7 +116,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
     return slim.mapInArrow(score, "doc_id bigint, score double").select(
         "doc_id",
-        F.coalesce(~train_row(F.col("doc_id")), F.lit(False)).alias("held_out"),
+        held_out(F.col("doc_id"), 5, 0).alias("held_out"),
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
@@ -128,7 +124,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
 def fitted(docs: DataFrame, labels: DataFrame, fit: Fit) -> Model:
     """The dictionaries and the calibration, from the bounded sample."""
-    known = labels.where("doc_id is not null and toxic in (0, 1)").where(train_row(F.col("doc_id")))
+    known = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id"), 5, 0))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     sizes = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     share = sizes.get(1, 0) / max(1, sum(sizes.values()))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sharemill.llm.compression_toxicity import toxicity
+from sharemill.llm.crf_language import languages
 from sharemill.llm.histogram_topk import top_k
 from sharemill.llm.poisson_mix import poisson_mix
 from sharemill.llm.tables import table
@@ -39,11 +40,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_poisson_mix": op2_poisson_mix,
     "op3_compression_toxicity": op3_compression_toxicity,
     "op5_histogram_topk": op5_histogram_topk,
     "op9_token_counts": op9_token_counts,
+    "op10_crf_language": op10_crf_language,
 }
 
 #: 52 bits of the MD5 as a value in [0, 1), as in ``poisson_mix.uniform``.
