@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sharemill.llm.compression_toxicity import toxicity
 from sharemill.llm.crf_language import languages
 from sharemill.llm.histogram_topk import top_k
+from sharemill.llm.minmax_dedup import Settings, near_duplicates
 from sharemill.llm.poisson_mix import poisson_mix
 from sharemill.llm.tables import table
 from sharemill.llm.token_counts import token_counts
@@ -31,6 +32,10 @@ def op5_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
 
 
+def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), Settings(words=3, percent=85, rows=6))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_poisson_mix": op2_poisson_mix,
     "op3_compression_toxicity": op3_compression_toxicity,
     "op5_histogram_topk": op5_histogram_topk,
+    "op6_minmax_dedup": op6_minmax_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_crf_language": op10_crf_language,
 }
@@ -56,6 +62,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _UNIFORM = "(('0x' || substr(md5({text}), 1, 13))::bigint)::double / 4503599627370496.0"
 
 ORACLE: dict[str, str] = {
+    "op6_minmax_dedup": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents
+        ), sets AS (
+            SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM split
+        ), shingles AS (
+            SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+        ), links AS (
+            SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reach(node, root) AS (
+            SELECT doc_id, doc_id FROM documents UNION SELECT l.a, r.root FROM reach r JOIN links l ON l.b = r.node WHERE r.root < l.a
+        ), roots AS (
+            SELECT node, min(root) AS component_id FROM reach GROUP BY node
+        )
+        SELECT doc_id, len(s)::bigint AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN roots ON doc_id = node
+    """,
     "op2_poisson_mix": f"""
         WITH RECURSIVE sizes AS (
             SELECT source, count(*) AS n_docs, pow(count(*)::double, 0.5) AS weight FROM documents GROUP BY source
