@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sharemill.llm.bm25_decontamination import contaminated
 from sharemill.llm.compression_toxicity import toxicity
 from sharemill.llm.crf_language import languages
 from sharemill.llm.histogram_topk import top_k
@@ -36,6 +37,10 @@ def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Settings(words=3, percent=85, rows=6))
 
 
+def op8_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     if tokenizer is None:
         import public_tokenizers
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_compression_toxicity": op3_compression_toxicity,
     "op5_histogram_topk": op5_histogram_topk,
     "op6_minmax_dedup": op6_minmax_dedup,
+    "op8_bm25_decontamination": op8_bm25_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_crf_language": op10_crf_language,
 }
