@@ -11,6 +11,7 @@ from sharemill.llm.bm25_decontamination import contaminated
 from sharemill.llm.compression_toxicity import toxicity
 from sharemill.llm.crf_language import languages
 from sharemill.llm.histogram_topk import top_k
+from sharemill.llm.label_sharding import shard_documents
 from sharemill.llm.minmax_dedup import Settings, near_duplicates
 from sharemill.llm.poisson_mix import poisson_mix
 from sharemill.llm.tables import table
@@ -28,6 +29,10 @@ def op3_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_label_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
 def op5_histogram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
@@ -57,6 +62,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_poisson_mix": op2_poisson_mix,
     "op3_compression_toxicity": op3_compression_toxicity,
+    "op4_label_sharding": op4_label_sharding,
     "op5_histogram_topk": op5_histogram_topk,
     "op6_minmax_dedup": op6_minmax_dedup,
     "op8_bm25_decontamination": op8_bm25_decontamination,
