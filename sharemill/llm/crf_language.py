@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sharemill.llm.chains import Chains
 from sharemill.llm.splits import held_out
 from sharemill.llm.tables import fresh, quoted
 from sharemill.llm.words import pieces, utf8
@@ -89,39 +90,13 @@ def _emissions(words: list[bytes], weights: np.ndarray) -> np.ndarray:
 # -- chains -----------------------------------------------------------------------------------------------------
 
 
-def forward_backward(emissions: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """Each word's label probabilities, the expected number of each transition, and the log partition function.
-
-    ``emissions`` holds the words of all chains one after the other, ``lengths`` the chains' lengths (over 0).
-    """
-    order = np.argsort(-lengths, kind="stable")
-    starts, sizes = (np.cumsum(lengths) - lengths)[order], lengths[order]
-    top = emissions.max(axis=1, keepdims=True)
-    local, step = np.exp(emissions - top), np.exp(transitions).astype(emissions.dtype)
-    active = np.searchsorted(-sizes, -np.arange(1, sizes[0] + 1), side="right")  # chains that reach each place
-    alpha, scale = np.empty_like(local), np.empty(len(local), local.dtype)
-    now = local[starts]
-    for t in range(sizes[0]):
-        at = starts[: active[t]] + t
-        if t:
-            now = (now[: active[t]] @ step) * local[at]
-        total = now.sum(axis=1)
-        now = now / total[:, None]
-        alpha[at], scale[at] = now, total
-    expected = np.zeros_like(step, dtype=np.float64)
-    back = np.ones((active[-1], local.shape[1]), local.dtype)
-    for t in range(sizes[0] - 1, 0, -1):
-        at = starts[: active[t]] + t
-        if len(back) < active[t]:
-            back = np.concatenate([back, np.ones((active[t] - len(back), local.shape[1]), local.dtype)])
-        seen = back * local[at] / scale[at][:, None]
-        expected += alpha[at - 1].T @ seen
-        alpha[at] *= back
-        back = seen @ step.T
-    if len(back) < len(starts):
-        back = np.concatenate([back, np.ones((len(starts) - len(back), local.shape[1]), local.dtype)])
-    alpha[starts] *= back
-    return alpha, expected * step, float(np.log(scale, dtype=np.float64).sum() + top.sum(dtype=np.float64))
+def probabilities(table: np.ndarray, words: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's label probabilities, and the expected number of each transition; ``words`` holds the rows of
+    ``table`` for the words of all chains, one chain after the other."""
+    chains = Chains(lengths)
+    local = np.exp(table - table.max(axis=1, keepdims=True))[chains.by_time(words)]
+    likely, expected, _ = chains.smooth(local, np.exp(transitions).astype(local.dtype), np.ones(local.shape[1], local.dtype))
+    return likely[chains.place], expected
 
 
 # -- training ---------------------------------------------------------------------------------------------------
@@ -187,7 +162,7 @@ def _train(labels: list[str], sample: list[tuple[int, bytes]], fit: Fit) -> Mode
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, transitions)]
     for step in range(1, fit.steps + 1):
         local = np.stack([np.bincount(owner, weights[bucket, k], len(known)) * scale for k in range(n)], axis=1)
-        likely, expected, _ = forward_backward(local[words].astype(np.float32), lengths, transitions)
+        likely, expected = probabilities(local.astype(np.float32), words, lengths, transitions)
         miss = gold - likely
         by_word = np.stack([np.bincount(words, miss[:, k], len(known)) for k in range(n)], axis=1) * scale[:, None]
         up = np.stack([np.bincount(bucket, by_word[owner, k], 1 << BITS) for k in range(n)], axis=1) / len(words)
@@ -239,7 +214,7 @@ class Tagger:
             self.table = np.concatenate([self.table, _emissions(new, self.model.weights)])
         words = np.concatenate(ids)
         lengths = np.concatenate([np.r_[np.full(len(x) // CHAIN, CHAIN), [len(x) % CHAIN] * (len(x) % CHAIN > 0)] for x in ids]).astype(np.int64)
-        return forward_backward(self.table[words], lengths, self.model.transitions.astype(np.float32))[0]
+        return probabilities(self.table, words, lengths, self.model.transitions)[0]
 
     def words(self, texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(text number, numbers of its words that have a letter, their label probabilities), maybe in several

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sharemill.llm.bm25_decontamination import contaminated
 from sharemill.llm.compression_toxicity import toxicity
 from sharemill.llm.crf_language import languages
+from sharemill.llm.hidden_markov import language_scores
 from sharemill.llm.histogram_topk import top_k
 from sharemill.llm.label_sharding import shard_documents
 from sharemill.llm.minmax_dedup import Settings, near_duplicates
@@ -42,6 +43,10 @@ def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Settings(words=3, percent=85, rows=6))
 
 
+def op7_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_scores(table(spark, sf_dir, "documents"))
+
+
 def op8_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_label_sharding": op4_label_sharding,
     "op5_histogram_topk": op5_histogram_topk,
     "op6_minmax_dedup": op6_minmax_dedup,
+    "op7_hidden_markov": op7_hidden_markov,
     "op8_bm25_decontamination": op8_bm25_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_crf_language": op10_crf_language,
