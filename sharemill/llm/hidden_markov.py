@@ -37,7 +37,7 @@ class Settings:
     states: int = 8
     symbols: int = 16_384
     classes: int = 512
-    counted: int = 262_144
+    counted: int = 131_072
     longest: int = 64
     chain: int = 128
     passes: int = 2
@@ -98,9 +98,17 @@ def word_counts(texts: DataFrame, room: int = 300_000) -> DataFrame:
 
 def lexicon(counts: DataFrame, n_texts: int, settings: Settings) -> Lexicon:
     """From the written table of counts and the number of training texts, each of which has one end."""
-    short = counts.where(F.length("word") <= settings.longest)
-    # at most ``counted`` words
-    top = {bytes(r["word"]): r["n"] for r in short.orderBy(F.col("n").desc(), "word").limit(settings.counted).collect()}
+    short = counts.where(F.length("word") <= settings.longest).withColumn("bin", F.floor(64 * F.log2("n")).cast("int"))
+    # the commonest words are those from some bin of counts on, so that they are at most ``counted``
+    sizes, least, room = short.groupBy("bin").count().collect(), 1 << 20, settings.counted
+    for r in sorted(sizes, key=lambda r: -r["bin"]):  # at most 64 rows for each power of two
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r["bin"]
+    common = short.where(F.col("bin") >= least).select("word", "n").toArrow()
+    ranked = sorted(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+    top = dict(ranked)
     symbols, classes = frozenset(list(top)[: settings.symbols]), settings.classes
     sent = counts.sparkSession.sparkContext.broadcast(symbols)
 
@@ -226,9 +234,8 @@ def expected_counts(rows: DataFrame, model: Model, settings: Settings) -> np.nda
 
     schema = ", ".join(["symbol bigint", *(f"{n} double" for n in names)])
     totals = rows.select("symbols").mapInArrow(count, schema).groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names])
-    out = np.zeros((symbols + s + 1, s))
-    for r in totals.collect():  # a row per symbol and state
-        out[r["symbol"]] = r[1:]
+    out, found = np.zeros((symbols + s + 1, s)), totals.toArrow()  # a row per symbol and state
+    out[found["symbol"].to_numpy()] = np.stack([found[n].to_numpy() for n in names], axis=1).reshape(-1, s)
     return out
 
 
