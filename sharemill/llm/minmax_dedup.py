@@ -6,8 +6,8 @@ are banded: sets that agree in a whole band become candidates, and candidates ar
 
 Nothing is enumerated within a band's bucket. All its sets are compared with one of them, the pivot; links join
 sets into components; and while a bucket still spans several components, a further pivot is taken, the set with
-the most links. What is left after these rounds are pairs across components that the similarities to the first
-pivot can't rule out, by the triangle inequality of the Jaccard distance, and these are compared one by one.
+the most links. What is left after these rounds are sets in buckets that span several components; of these, pairs
+across components are compared if they share one of their rarest shingles, as any two linked sets do.
 """
 
 from __future__ import annotations
@@ -216,22 +216,65 @@ def _class_links(docs: DataFrame, classes: DataFrame, settings: Settings, doc_id
         found.append(more)
         if more.isEmpty():
             break
-    # pairs across components that size and the distances to the first pivot can't rule out
-    rest = _open_buckets(inside, reduce(DataFrame.union, found))
-    near = measured.select(
-        F.col("a").alias("pivot"), F.col("b").alias("cid"), (1 - F.col("common") / (F.col("n_a") + F.col("n_b") - F.col("common"))).alias("distance")
+    known = reduce(DataFrame.union, found)
+    rest = _open_buckets(inside, known)
+    pairs = _rare_pairs(rest.groupBy("cid").agg(F.min("n").alias("n"), F.min("component").alias("component")), known, sets, settings)
+    found.append(staged(_confirmed(pairs, sets).where(_linked(settings)).select("a", "b"), "pair-links"))
+    return reduce(DataFrame.union, found)
+
+
+def _rare_pairs(open_sets: DataFrame, links: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs (a, b) of sets (cid, n, component) of different components that could be linked.
+
+    Two linked sets share one of the first n - least + 1 shingles of each in any common order, ``least`` being the
+    share of n that a linked set must have in common with it (the prefix filter). Rarest first, a set that differs
+    from all others has only shingles of its own there, and meets none of them. Of the sets that do meet, those
+    outside the largest component there look for partners. Against its most linked set c, two sets x and y have at
+    most min(|x & c|, |y & c|) + min(|x - c|, |y - c|) shingles in common, not counting those of one set alone.
+    """
+    percent = settings.percent
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, raw in zip(batch.column(0), batch.column(1), strict=True):
+                one = np.frombuffer(raw.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(one), cid.as_py())), pa.array(one)], ["cid", "shingle"])
+
+    held = staged(sets.join(open_sets.select("cid"), "cid", "left_semi").mapInArrow(spread, "cid bigint, shingle bigint"), "open-shingles")
+    counts = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    # shingles of one set alone come first and meet nobody: their number is enough
+    shared = held.join(counts, "shingle").groupBy("cid").agg(F.sort_array(F.collect_list(F.struct("df", "shingle"))).alias("shared"))
+    least = F.ceil(F.col("n") * percent / 100.0 - 1e-9)
+    first = F.col("n") - least + 1 - (F.col("n") - F.size("shared"))
+    prefix = (
+        open_sets.join(shared, "cid").withColumn("first", first.cast("int")).where("first > 0")
+        .select("cid", "n", "component", F.size("shared").alias("usable"), F.posexplode(F.slice("shared", F.lit(1), F.col("first"))["shingle"]).alias("at", "shingle"))
+        .withColumn("left", F.col("usable") - F.col("at"))
     )
-    placed = rest.where("cid <> pivot").join(near, ["pivot", "cid"])
-    one, other = (placed.select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in ("cid", "n", "component", "distance")]) for k in "ab")
-    limit = 1 - percent / 100 + 1e-9
+    prefix = staged(prefix, "prefixes")
+    sizes = prefix.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("size"))
+    main = sizes.groupBy("shingle").agg(F.max(F.struct("size", "component")).alias("main"), F.count(F.lit(1)).alias("several")).where("several > 1")
+    marked = staged(prefix.join(main.select("shingle", F.col("main.component").alias("main")), "shingle"), "marked")
+    # what every set has in common with the centres of the components it meets
+    degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = open_sets.join(degree, "cid", "left").groupBy("component").agg(F.max(F.struct(F.coalesce("degree", F.lit(0)), (-F.col("cid")).alias("least"))).alias("best"))
+    centres = ranked.select(F.col("component").alias("main"), (-F.col("best.least")).alias("centre"))
+    met = marked.select("cid", "main").distinct().join(centres, "main")
+    measured = _confirmed(met.select(F.col("centre").alias("a"), F.col("cid").alias("b")).distinct(), sets)
+    shares = staged(met.join(measured.select(F.col("a").alias("centre"), F.col("b").alias("cid"), "common"), ["centre", "cid"]).select("cid", "main", "common"), "shares")
+    held = staged(marked.join(shares, ["cid", "main"]), "measured")
+    one = held.where("component <> main").select("shingle", *[F.col(c).alias(f"{c}_one") for c in ("cid", "n", "component", "usable", "common", "left")])
+    beyond = F.greatest(F.least(F.col("usable") - F.col("common"), F.col("usable_one") - F.col("common_one")), F.lit(0))
+    most = F.least("common", "common_one") + beyond
+    # from the first shingle that two sets share there on, they share no more than either has left
+    most = F.least(most, "left", "left_one")
     pairs = (
-        one.join(other, "bucket")
-        .where("cid_a < cid_b and component_a <> component_b")
-        .where((100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.abs(F.col("distance_a") - F.col("distance_b")) <= limit))
-        .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
+        held.join(one, "shingle")
+        .where("component <> component_one and (component = main or cid < cid_one)")
+        .where(100 * F.least("n", "n_one") >= percent * F.greatest("n", "n_one"))
+        .where((100 + percent) * most >= percent * (F.col("n") + F.col("n_one")))
     )
-    found.append(staged(_confirmed(pairs, sets).where(_linked(settings)).select("a", "b"), "pair-links"))
-    return reduce(DataFrame.union, found)
+    return pairs.select(F.least("cid", "cid_one").alias("a"), F.greatest("cid", "cid_one").alias("b")).distinct()
 
 
 def _open_buckets(inside: DataFrame, links: DataFrame) -> DataFrame:
