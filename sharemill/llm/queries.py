@@ -14,6 +14,7 @@ from sharemill.llm.hidden_markov import language_scores
 from sharemill.llm.histogram_topk import top_k
 from sharemill.llm.label_sharding import shard_documents
 from sharemill.llm.minmax_dedup import Settings, near_duplicates
+from sharemill.llm.pii_surrogates import replace_entities
 from sharemill.llm.poisson_mix import poisson_mix
 from sharemill.llm.tables import table
 from sharemill.llm.token_counts import token_counts
@@ -21,6 +22,12 @@ from sharemill.llm.token_counts import token_counts
 TOKEN_LIMIT = 2048
 
 
+def op1_pii_surrogates(spark: SparkSession, sf_dir: str, key: str = "surrogates") -> DataFrame:
+    """All documents with surrogates in their texts. A key given here is no secret: use your own."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return replace_entities(docs, key).select("doc_id", "text", "n_entities")
+
+
 def op2_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, replicated to weights of the square root of each source's size, in shuffled order."""
     return poisson_mix(table(spark, sf_dir, "documents"))
@@ -65,6 +72,7 @@ def op10_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogates": op1_pii_surrogates,
     "op2_poisson_mix": op2_poisson_mix,
     "op3_compression_toxicity": op3_compression_toxicity,
     "op4_label_sharding": op4_label_sharding,
