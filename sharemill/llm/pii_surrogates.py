@@ -79,13 +79,19 @@ def _same_format(text: Column, stream: Column, digits: str = "0123456789", lower
 
 
 def kind_of(entity: Column) -> Column:
-    """The first kind whose pattern fits the whole entity; what fits none but stood after an assignment is a secret."""
+    """The first kind whose pattern fits the whole entity; what fits none but stood after an assignment is a secret.
+    Long numbers without a card's check digit are just numbers."""
     kind = F.when(entity.rlike(f"^(?:{PATTERNS['person']})$"), F.lit("person")).otherwise(F.lit("secret"))
     for name in reversed([k for k in PATTERNS if k not in ("secret", "person")]):
-        kind = F.when(entity.rlike(f"^(?:{PATTERNS[name]})$"), F.lit(name)).otherwise(kind)
+        found = F.when(_card(entity), F.lit(name)).otherwise(F.lit("number")) if name == "card" else F.lit(name)
+        kind = F.when(entity.rlike(f"^(?:{PATTERNS[name]})$"), found).otherwise(kind)
     return kind
 
 
+def _card(entity: Column) -> Column:
+    return F.call_function("luhn_check", F.regexp_replace(entity, "[^0-9]", ""))
+
+
 def _person(entity: Column) -> tuple[Column, Column]:
     """Title and the words of the name."""
     pattern = rf"^((?:{_TITLES})\.?) (.+)$"
@@ -166,8 +172,9 @@ def unit_surrogates(units: DataFrame, key: str) -> DataFrame:
 
 
 def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
-    """(entity, replacement) for distinct entities: the units' surrogates, written as the entity is."""
-    units = _units(entities.withColumn("kind", kind_of(F.col("entity"))))
+    """(entity, replacement) for distinct entities: the units' surrogates, written as the entity is; plain numbers stay."""
+    known = entities.withColumn("kind", kind_of(F.col("entity")))
+    units = _units(known.where("kind <> 'number'"))
     joined = units.join(unit_surrogates(units, key), ["unit_kind", "norm"])
     whole = joined.groupBy("entity", "kind").agg(F.sort_array(F.collect_list(F.struct("at", "surrogate"))).alias("parts"))
     plain = F.col("parts")[0]["surrogate"]
@@ -190,7 +197,8 @@ def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
         F.when(F.col("kind") == "person", F.concat(title, F.lit(" "), F.array_join(cased, " ")))
         .when(F.col("kind").isin("phone", "card", "ssn", "iban"), formatted).when(upper, F.upper(plain)).otherwise(plain)
     )
-    return whole.select("entity", written.alias("replacement"))
+    numbers = known.where("kind = 'number'").select("entity", F.col("entity").alias("replacement"))
+    return whole.select("entity", written.alias("replacement")).unionByName(numbers)
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str = "n_entities") -> DataFrame:
@@ -209,11 +217,14 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     found = staged(with_any.groupBy("digest").agg(F.max("entities").alias("entities")), "entities")
     replacements = entity_surrogates(found.select(F.explode("entities").alias("entity")).distinct(), key)
     placed = found.select("digest", F.posexplode("entities").alias("at", "entity")).join(staged(replacements, "replacements"), "entity")
-    by_text = placed.groupBy("digest").agg(F.sort_array(F.collect_list(F.struct("at", "replacement"))).alias("parts"))
+    by_text = placed.groupBy("digest").agg(
+        F.sort_array(F.collect_list(F.struct("at", "replacement"))).alias("parts"),
+        F.sum((F.col("replacement") != F.col("entity")).cast("int")).cast("int").alias("n"),
+    )
     own = []
-    for name in ("_digest", "_parts"):
+    for name in ("_digest", "_parts", "_number"):
         own.append(fresh([*docs.columns, n, *own], name))
-    by_text = by_text.select(F.col("digest").alias(own[0]), F.col("parts")["replacement"].alias(own[1]))
+    by_text = by_text.select(F.col("digest").alias(own[0]), F.col("parts")["replacement"].alias(own[1]), F.col("n").alias(own[2]))
     between = F.split(column, ENTITY, -1)
     # what lies between the entities, and after each but the last its surrogate
     rebuilt = F.concat(
@@ -223,4 +234,4 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     changed = docs.where(has).join(by_text, digest == quoted(own[0]))
     kept = [quoted(c) for c in docs.columns]
     new = [rebuilt.alias(c) if c == text else quoted(c) for c in docs.columns]
-    return changed.select(*new, F.size(quoted(own[1])).alias(n)).unionByName(docs.where(~has).select(*kept, F.lit(0).alias(n)))
+    return changed.select(*new, quoted(own[2]).alias(n)).unionByName(docs.where(~has).select(*kept, F.lit(0).alias(n)))
