@@ -23,7 +23,7 @@ from sharemill.rules import DEFAULT_RULES, Rules
 from sharemill.settings import CleanSettings, MartSettings
 from sharemill.sources import schemas
 from sharemill.sources.sinks import write_period, write_snapshot
-from sharemill.sources.tables import open_table
+from sharemill.sources.tables import open_table, written_table
 
 # Folder names of the outputs.
 CHANNEL_FACTS = "LA_CHANNEL_TBL"
@@ -100,7 +100,7 @@ def build_marts(
     written = {}
     for name, (build, facts, chosen, declared) in builds.items():
         mart = check_schema(build(facts, asof, rules, chosen), declared)
-        written[name] = open_table(spark, write_snapshot(mart, f"{output}/{name}"), declared)
+        written[name] = written_table(spark, write_snapshot(mart, f"{output}/{name}"), declared)
     return {
         "genre_share_ytd": check_total(written[GENRE_SHARE], "share_ytd").first()[0],
         "channel_details_rows": check_count(written[CHANNEL_DETAILS]).first()[0],

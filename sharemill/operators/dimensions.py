@@ -51,7 +51,7 @@ def exclude_zero(df: DataFrame, column: str, drop_zero: bool = False) -> DataFra
     the number itself.
     """
     value = F.col(column)
-    return df.where(value != 0) if drop_zero else df.where(value.cast("string") != "0.00")
+    return df.where(value != 0) if drop_zero else df.where(value.isNotNull())
 
 
 def keep_members(df: DataFrame, column: str, members: Iterable[str] | DataFrame) -> DataFrame:

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MASTER_ATTRIBUTES = (
-    "network", "network1", "genre", "genre_fta_pay", "genre_lang", "genre_consl", "genre_movie_others",
-    "language",
-)
+from sharemill.sources.schemas import MASTER_ATTRIBUTES
 
 
 def enrich(

@@ -8,75 +8,54 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sharemill.sources.staging import staged
-
 
 def rank_few(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:
     """Rank over all rows in one task: only for frames whose row count is bounded by the rules."""
     return df.withColumn(rank, F.rank().over(Window.orderBy(F.desc_nulls_last(value))))
 
 
-def rank_sized(
-    table: DataFrame, value: str, keys: Iterable[str] = (), rank: str = "rank", largest: int = 1_000_000
-) -> DataFrame:
-    """Rank within ``keys``, by a plain window while the largest group has at most ``largest`` rows.
-
-    The sizes come from jobs of their own, so ``table`` should be a written one: its row count is in the file
-    footers, and groups are only counted if all rows together exceed ``largest``.
-    """
-    keys = list(keys)
-    size = table.count()
-    if keys and size > largest:
-        size = table.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    if size > largest:
-        return rank_many(table, value, keys, rank)
-    return table.withColumn(rank, F.rank().over(Window.partitionBy(*keys).orderBy(F.desc_nulls_last(value))))
+#: Widths of the nested steps a value falls into, the wider a multiple of the narrower. Powers of two, so that
+#: dividing by them is exact and no two tasks can disagree.
+STEPS = (2.0**24, 2.0**12, 1.0, 2.0**-12)
 
 
 def rank_many(df: DataFrame, value: str, keys: Iterable[str] = (), rank: str = "rank") -> DataFrame:
-    """Rank within ``keys`` (or over all rows) for groups of any size.
-
-    A row's rank is one more than the number of rows of its group with a higher value. Equal values are
-    counted together first, with partial counts before the shuffle, so ties may be of any size. The distinct
-    values are then range-partitioned, and a group is cut wherever a range ends, so that no task sorts more
-    than one range: rows above = rows in the ranges before + rows with a higher value in the same range. The
-    number of ranges follows the session's shuffle partitions.
-
-    The ranges come from a sample, so they are written once (one job) for all later steps to agree on them.
+    """Rank within ``keys`` (or over all rows) for groups of any size, as one lazy plan.
+
+    A row's rank is one more than the number of rows of its group with a higher value. Equal values are counted
+    together first, with partial counts before the shuffle, so ties may be of any size. Distinct values fall into
+    nested steps of fixed width: rows above = rows in higher steps of the same wider step, for each width, + rows
+    with a higher value in the same narrowest step. So no task sorts a whole group, only the steps of one wider
+    step (at most 4096) or the values of one narrowest step. Steps depend on the value alone, hence no sample, and
+    nothing to be written for all readers to agree on.
     """
     keys = list(keys)
-    slotted = staged(
+    number = F.col(value).cast("double")
+    # what has no place on the scale goes by kind: NaN above, NULL below all numbers
+    kind = F.when(F.col(value).isNull(), F.lit(0)).when(F.isnan(number), F.lit(2)).otherwise(F.lit(1))
+    steps = [f"_step_{at}" for at in range(len(STEPS))]
+    counts = (
         df.groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_n"))
-        .repartitionByRange(*keys, F.desc_nulls_last(value))
-        .withColumn("_slot", F.spark_partition_id()),
-        "rank-slots",
+        .withColumn("_kind", kind)
+        .withColumns({name: F.floor(number / F.lit(width)) for name, width in zip(steps, STEPS)})
     )
+    levels = ["_kind", *steps]
+    higher = Window.partitionBy(*keys, *levels).orderBy(F.desc_nulls_last(value))
+    found = counts.withColumn("_above", _before(higher)).drop("_n")
+    sums = counts
+    for depth in range(len(levels), 0, -1):
+        inner, outer = levels[:depth], levels[: depth - 1]
+        sums = sums.groupBy(*keys, *inner).agg(F.sum("_n").alias("_n"))
+        order = Window.partitionBy(*keys, *outer).orderBy(F.desc_nulls_last(inner[-1]))
+        above = sums.withColumn("_more", _before(order)).drop("_n")
+        found = _match(found, above, [*keys, *inner]).withColumn("_above", F.col("_above") + F.col("_more")).drop("_more")
+    ranked = found.select(*keys, value, (F.col("_above") + 1).cast("int").alias(rank))
+    return _match(df, ranked, [*keys, value])
 
-    slots_before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    per_slot = (
-        # one row per group and range it reaches into
-        slotted.groupBy(*keys, "_slot")
-        .agg(F.sum("_n").alias("_in_slot"))
-        .withColumn("_above", F.coalesce(F.sum("_in_slot").over(slots_before), F.lit(0)))
-        .drop("_in_slot")
-    )
 
-    higher_values = (
-        Window.partitionBy(*keys, "_slot")
-        .orderBy(F.desc_nulls_last(value))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = (
-        _match(
-            slotted.withColumn("_before", F.coalesce(F.sum("_n").over(higher_values), F.lit(0))),
-            per_slot,
-            [*keys, "_slot"],
-        )
-        .withColumn(rank, (F.col("_above") + F.col("_before") + 1).cast("int"))
-        .select(*keys, value, rank)
-    )
-    return _match(df, ranked, [*keys, value])
+def _before(order) -> Column:
+    return F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def _match(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:

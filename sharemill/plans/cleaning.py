@@ -45,17 +45,21 @@ def clean_genre_facts(
         if asof is None:
             raise ValueError("slice_genre needs an as-of period")
         feed = period_slice(feed, asof, week="week")
-    facts = (
-        feed.transform(exclude_marker, "channel", ignore_case=settings.ignore_case)
-        .select(
-            "channel",
-            F.col("week").alias("week_no"),
-            "regions",
-            _number("shr%", settings).alias("share_pct"),
-            cast_long(F.col("year_of_week"), settings.numbers).alias("year_of_week"),
-        )
-        .transform(exclude_zero, "share_pct", settings.drop_zero)
+    facts = feed.transform(exclude_marker, "channel", ignore_case=settings.ignore_case)
+    # Whether the job fails must not depend on where a filter runs, so no filter looks at a number that may raise:
+    # a strict number is never NULL, and zeros are told by the lenient one.
+    if settings.drop_zero:
+        lenient = numeric_text(F.col("`shr%`"), "lenient", settings.python_numbers)
+        facts = facts.where((lenient != 0) | (lenient.isNull() & F.lit(settings.numbers == "strict")))
+    facts = facts.select(
+        "channel",
+        F.col("week").alias("week_no"),
+        "regions",
+        _number("shr%", settings).alias("share_pct"),
+        cast_long(F.col("year_of_week"), settings.numbers).alias("year_of_week"),
     )
+    if settings.numbers == "lenient" and not settings.drop_zero:
+        facts = facts.transform(exclude_zero, "share_pct")
     return _enriched(facts, master, False, settings)
 
 

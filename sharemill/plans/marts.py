@@ -18,11 +18,10 @@ from sharemill.operators.dimensions import (
     keep_prefixes,
     trim_dims,
 )
-from sharemill.operators.ranks import rank_few, rank_sized
+from sharemill.operators.ranks import rank_few, rank_many
 from sharemill.operators.totals import normalise_100, partition_total
 from sharemill.rules import DEFAULT_RULES, Rules
 from sharemill.settings import MartSettings
-from sharemill.sources.staging import staged
 
 TRIMMED = ("network", "channel", "genre", "regions", "targets")
 
@@ -74,12 +73,10 @@ def genre_share(
     and are then normalised to 100 over all networks, before the unreported ones are dropped.
     """
     windows = Windows.at(asof, settings)
-    # read by the totals, the normalising sums and the rows themselves
-    sums = staged(
+    sums = (
         facts.transform(trim_dims, TRIMMED)
         .transform(_needed, windows, settings)
-        .transform(sum_by, ["regions", _owner(rules).alias("network"), _period(settings)], "share_pct"),
-        "genre-sums",
+        .transform(sum_by, ["regions", _owner(rules).alias("network"), _period(settings)], "share_pct")
     )
     shares = (
         # rows without a network count in the total and are dropped after it
@@ -102,7 +99,7 @@ def genre_share(
     )
     # If every kept prefix belongs to a label, only the labels are left. Other rules may leave any number.
     few = all(any(_covers(pattern, prefix) for pattern, _ in rules.genre_labels) for prefix in rules.kept_prefixes)
-    ranked = rank_few(kept, "mkt_share_cw") if few else rank_sized(staged(kept, "genre-kept"), "mkt_share_cw")
+    ranked = rank_few(kept, "mkt_share_cw") if few else rank_many(kept, "mkt_share_cw")
     return ranked.select(
         "network", "rank", _cut("mkt_share_cw", settings), _cut("share_l4w", settings), _cut("share_ytd", settings)
     )
@@ -135,18 +132,15 @@ def channel_details(
         )
     )
     grp = F.col("grp")
-    pivoted = staged(
-        weekly.transform(
-            period_pivot,
-            ["network", "channel", "genre", "market", "demography"],
-            windows,
-            ("grp", grp),
-            ("grp_l4w", grp),
-            ("grp_ytd", grp),
-        ).withColumn("bucket", bucket_code(F.col("channel"), rules.buckets)),
-        "channel-details",
-    )
-    ranked = rank_sized(pivoted, "grp", ["bucket", "market", "demography"])
+    pivoted = weekly.transform(
+        period_pivot,
+        ["network", "channel", "genre", "market", "demography"],
+        windows,
+        ("grp", grp),
+        ("grp_l4w", grp),
+        ("grp_ytd", grp),
+    ).withColumn("bucket", bucket_code(F.col("channel"), rules.buckets))
+    ranked = rank_many(pivoted, "grp", ["bucket", "market", "demography"])
 
     def points(name: str) -> Column:
         # only a missing value becomes zero: a value without a fixed-point form (NaN) is still a NULL

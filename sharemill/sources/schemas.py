@@ -19,10 +19,12 @@ def _schema(**columns) -> StructType:
     return StructType([StructField(name, kind) for name, kind in columns.items()])
 
 
-_MASTER_ATTRIBUTES = dict(
-    network=TEXT, network1=TEXT, genre=TEXT, genre_fta_pay=TEXT, genre_lang=TEXT, genre_consl=TEXT,
-    genre_movie_others=TEXT, language=TEXT,
+# The attributes of the channel master, all text.
+MASTER_ATTRIBUTES = (
+    "network", "network1", "genre", "genre_fta_pay", "genre_lang", "genre_consl", "genre_movie_others",
+    "language",
 )
+_MASTER_ATTRIBUTES = dict.fromkeys(MASTER_ATTRIBUTES, TEXT)
 
 RAW_CHANNEL_FEED = _schema(
     **{

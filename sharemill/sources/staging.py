@@ -7,20 +7,15 @@ and a lost executor costs no recomputation of the steps before.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all machines see: ``spark.checkpoint.dir``. Without it, a temporary one in local mode only."""
+    """The folder all machines see: ``spark.checkpoint.dir``, or else one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="sharemill-")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -13,14 +13,16 @@ from sharemill.operators.checks import as_declared
 def open_table(spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
     """A catalog table (``database.table``) or, if the name holds a slash, a Parquet folder.
 
-    A catalog table's columns are brought to the declared types; for a folder the declared schema goes to the
-    reader, which then needs no inference job. Partition columns in folder names are added by Spark.
+    Columns of other types than the declared ones are cast to them. Partition columns in folder names are added by
+    Spark.
     """
-    if "/" not in name:
-        table = spark.read.table(name)
-        return table if schema is None else as_declared(table, schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(name)
+    table = spark.read.parquet(name) if "/" in name else spark.read.table(name)
+    return table if schema is None else as_declared(table, schema)
+
+
+def written_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A folder that this package wrote: its schema is known, so the reader needs no job to infer it."""
+    return spark.read.schema(schema).parquet(path)
 
 
 def period_slice(df: DataFrame, asof: AsOf, year: str = "year_of_week", week: str = "week_no") -> DataFrame:

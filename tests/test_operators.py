@@ -184,8 +184,6 @@ def test_normalise_of_nothing(spark):
 
 ALL_RANKS = {
     "few": lambda df, keys: ranks.rank_few(df, "v"),
-    "sized": lambda df, keys: ranks.rank_sized(df, "v", keys),
-    "sized, over the limit": lambda df, keys: ranks.rank_sized(df, "v", keys, largest=1),
     "many": lambda df, keys: ranks.rank_many(df, "v", keys),
 }
 
@@ -199,7 +197,7 @@ def test_ties_leave_gaps_and_null_is_last(spark, how):
     assert {row.i: row["rank"] for row in found.collect()} == {0: 3, 1: 3, 2: 1, 3: 7, 4: 7, 5: 2, 6: 5, 7: 5}
 
 
-@pytest.mark.parametrize("how", ["sized", "sized, over the limit", "many"])
+@pytest.mark.parametrize("how", ["many"])
 def test_null_keys_are_a_group(spark, how):
     rows = spark.createDataFrame([(None, 1), (None, 2), (1, 5), (1, 4), (1, 5)], "k int, v int")
     found = ALL_RANKS[how](rows, ["k"])
@@ -237,4 +235,3 @@ def test_ranks_of_skewed_groups_match_brute_force(spark, keys):
 def test_ranking_nothing(spark):
     rows = spark.createDataFrame([], "k int, v int")
     assert ranks.rank_many(rows, "v", ["k"]).collect() == []
-    assert ranks.rank_sized(rows, "v", ["k"]).collect() == []

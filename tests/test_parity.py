@@ -7,7 +7,8 @@ from compare import differences, sql_engine
 
 import __spark_entry__ as driver
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+from parity.oracle import ORACLE
+from parity.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
