@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from parity.queries import AS_OF, EVENTS_AS_OF, MARTS, VARIANTS
+from parity.queries import AS_OF, EVENTS_AS_OF, MARTS, NAN_ROWS, NULL_ROWS, VARIANTS, ZERO_ROWS
 from parity.stand_in import CHANNEL_NAMES, NETWORK_NAMES, OPEN_RULES, RULES
 from sharemill import DEFAULT_RULES, AsOf, MartSettings, RollUp, Rules
 
@@ -500,4 +500,20 @@ for _mart in MARTS:
     for _suffix, _arguments in VARIANTS.items():
         ORACLE[_mart + _suffix] = _MART_SQL[_mart](**_arguments)
 ORACLE["weekly_run"] = _weekly_run()
+
+
+def _changed(columns: str, name: str, when: str, value: str) -> str:
+    return f"select * replace (case when {when} then {value} else {name} end as {name}) from ({_facts(False, columns)}) f"
+
+
+_GENRE = "network, network1, regions, year_of_week, week_no, share_pct"
+_DETAILS = "network, channel, genre_fta_pay, regions, targets, year_of_week, week_no, grp"
+ORACLE["genre_share_nan"] = genre_share(source=_changed(_GENRE, "share_pct", NAN_ROWS, "cast('nan' as double)"))
+ORACLE["genre_share_zero_total"] = genre_share(source=_changed(_GENRE, "share_pct", ZERO_ROWS, "0"))
+ORACLE["channel_details_nulls"] = channel_details(source=_changed(_DETAILS, "grp", NULL_ROWS, "null"))
+ORACLE["check_schema"] = network_share()
+ORACLE["clean_numeric_underscores"] = wide("""l_orderkey, l_linenumber, cast(replace("rat%", ',', '') as double) as grp""")
+ORACLE["enrich_fan_out"] = ORACLE["enrich_ci"].replace(
+    f"({MASTER})", f"(from ({MASTER}) union all select * replace (lower(channel) as channel, 'again' as network) from ({MASTER}))"
+)
 ORACLE["genre_share_open"] = genre_share(rules=OPEN_RULES)

@@ -135,6 +135,14 @@ def clean_numeric_guarded(spark, sf_dir):
     )
 
 
+@query
+def clean_numeric_underscores(spark, sf_dir):
+    """Digits grouped by underscores: no number to a cast, one to the guard."""
+    feed = facts(spark, sf_dir, (*LINE, "rat%"))
+    grouped = F.translate("`rat%`", ",", "_")
+    return feed.select(*LINE, text.numeric_text(grouped, "lenient", python_numbers=True).alias("grp"))
+
+
 @query
 def rejected_rows(spark, sf_dir):
     columns = {**dict(zip(LINE, LINE)), "channel": "marked_channel", "rat%": "rat%", "spotty%": "spotty%"}
@@ -320,6 +328,14 @@ def enrich_ci(spark, sf_dir):
     return enrich(_marked(spark, sf_dir), channel_master(spark, sf_dir, lower=True), ignore_case=True)
 
 
+@query
+def enrich_fan_out(spark, sf_dir):
+    """Keys that repeat in the master, once in other letters: every fact comes out once for each."""
+    master = channel_master(spark, sf_dir)
+    twice = master.unionByName(channel_master(spark, sf_dir, lower=True).withColumn("network", F.lit("again")))
+    return enrich(_marked(spark, sf_dir), twice, ignore_case=True)
+
+
 @query
 def enrich_exact(spark, sf_dir):
     return enrich(_marked(spark, sf_dir), channel_master(spark, sf_dir))
@@ -576,6 +592,37 @@ def _mart(build, columns, asof, settings, named, rules=None) -> Query:
     return lambda spark, sf_dir: build(facts(spark, sf_dir, source), asof, rules, settings)
 
 
+def _changed(build, columns, name, when, value) -> Query:
+    """A mart over facts with another value of one measure in some rows."""
+
+    def mart(spark, sf_dir):
+        rows = facts(spark, sf_dir, columns)
+        return build(rows.withColumn(name, F.when(F.expr(when), F.lit(value)).otherwise(F.col(name))), AS_OF, RULES)
+
+    return mart
+
+
+# Fixed inputs of the keys below: which rows are changed.
+NAN_ROWS = "regions = 'ASIA' and week_no = 39"
+ZERO_ROWS = "regions = 'EUROPE' and week_no = 40"
+NULL_ROWS = "targets = 'BUILDING' and week_no <> 40 or regions = 'ASIA'"
+
+QUERIES["genre_share_nan"] = _changed(marts.genre_share, GENRE_COLUMNS, "share_pct", NAN_ROWS, float("nan"))
+QUERIES["genre_share_zero_total"] = _changed(marts.genre_share, GENRE_COLUMNS, "share_pct", ZERO_ROWS, 0.0)
+
+
+@query
+def channel_details_nulls(spark, sf_dir):
+    mart = _changed(marts.channel_details, DETAIL_COLUMNS, "grp", NULL_ROWS, None)
+    return mart(spark, sf_dir).drop("update_date")
+
+
+@query
+def check_schema(spark, sf_dir):
+    """A mart that has its declared columns passes unchanged."""
+    return checks.check_schema(network_share(spark, sf_dir), schemas.NETWORK_SHARE)
+
+
 network_share = network_mart()
 genre_share = genre_mart()
 channel_details = details_mart()

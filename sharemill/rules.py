@@ -69,12 +69,24 @@ BUCKETS = {
     ),
 }
 
-# Sports channels, which reach a bucket only through the roll-up labels of bucket 7.
-SPORTS_MEMBERS = (
-    "DD SPORTS", "EUROSPORT", "NEO PRIME(NA)", "NEO SPORTS(NA)", "SONY ESPN(V)", "SONY SIX(V)",
-    "SONY TEN 1", "SONY TEN 2", "SONY TEN 3", "SONY TEN 4(V)", "STAR SPORTS 1", "STAR SPORTS 1 HINDI",
-    "STAR SPORTS 2(V)", "STAR SPORTS 3(V)", "STAR SPORTS FIRST", "STAR SPORTS SELECT 1 SD",
-    "STAR SPORTS SELECT 2 SD",
+# The channels that the details mart keeps.
+MEMBERS = (
+    "SONY TEN 4(V)", "&TV", "COLORS", "JEET PRIME(V)", "LIFE OK(NA)", "SONY SAB", "SONY ENTERTAINMENT TELEVISION",
+    "STAR BHARAT", "STAR PLUS", "ZEE TV", "BIG MAGIC", "COLORS RISHTEY", "DANGAL", "SONY PAL", "STAR UTSAV",
+    "ZEE ANMOL", "ZINDAGI(NA)", "&PICTURES", "COLORS CINEPLEX", "SONY MAX(V)", "SONY MAX 2", "STAR GOLD 2",
+    "STAR GOLD", "STAR GOLD SELECT SD", "UTV ACTION", "UTV MOVIES", "ZEE ACTION", "ZEE BOLLYWOOD", "ZEE CINEMA",
+    "ZEE CLASSIC", "ABZY MOVIES", "B4U KADAK", "B4U MOVIES", "CINEMA TV INDIA", "DABANGG", "ENTERR 10",
+    "MAHA MOVIE", "RISHTEY CINEPLEX", "SONY WAH", "STAR UTSAV MOVIES", "WOW CINEMA ONE", "ZEE ANMOL CINEMA",
+    "&FLIX", "HBO(NA)", "MNX", "MOVIES NOW", "SONY PIX", "ROMEDY NOW", "STAR MOVIES ACTION(NA)", "STAR MOVIES",
+    "WB(NA)", "ZEE STUDIO(NA)", "ANIMAL PLANET", "DISCOVERY CHANNEL(V)", "DISCOVERY SCIENCE", "DTAMIL",
+    "HISTORY TV 18(V)", "NAT GEO WILD(V)", "NATIONAL GEOGRAPHIC(V)", "SONY BBC EARTH(V)", "DD SPORTS",
+    "EUROSPORT", "NEO PRIME(NA)", "NEO SPORTS(NA)", "SONY ESPN(V)", "SONY SIX(V)", "STAR SPORTS 1",
+    "STAR SPORTS 1 HINDI", "STAR SPORTS 2(V)", "STAR SPORTS 3(V)", "STAR SPORTS FIRST", "STAR SPORTS SELECT 1 SD",
+    "STAR SPORTS SELECT 2 SD", "SONY TEN 1", "SONY TEN 2", "SONY TEN 3", "AAKASH AATH", "COLORS BANGLA",
+    "DD BANGLA", "RUPOSHI BANGLA", "SONY AATH", "STAR JALSHA", "SUN BANGLA", "ZEE BANGLA", "COLORS MARATHI",
+    "DD SAHYADRI", "SONY MARATHI", "STAR PRAVAH", "ZEE MARATHI", "ZEE YUVA", "CARTOON NETWORK(V)",
+    "DISNEY CHANNEL(V)", "DISNEY JUNIOR(V)", "DISNEY XD", "DISCOVERY KIDS", "HUNGAMA(V)", "MAHA CARTOON TV(NA)",
+    "NICK JUNIOR(V)", "NICK(V)", "POGO TV(V)", "SONIC NICKELODEON(V)", "SONY YAY(V)", "TOONAMI(NA)",
 )
 
 # Roll-up of sports channels into one label per owner.
@@ -115,8 +127,7 @@ DEFAULT_RULES = Rules(
     genre_labels=GENRE_LABELS,
     kept_labels=REPORTED,
     kept_prefixes=REPORTED,
-    # every bucketed channel, with the sports channels in place of their roll-up labels
-    members=tuple(name for code, names in BUCKETS.items() if code != 7 for name in names) + SPORTS_MEMBERS,
+    members=MEMBERS,
     roll_up=RollUp("SPORTS", SPORTS_ROLL_UP, "Star Sports Channels"),
     buckets=BUCKETS,
 )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from datetime import date, timedelta
 from decimal import Decimal
@@ -118,6 +119,26 @@ def test_rule_lists_have_the_known_sizes():
     assert "1SPORTS" not in DEFAULT_RULES.members
 
 
+def _digest(names) -> str:
+    return hashlib.md5("\n".join(names).encode()).hexdigest()
+
+
+def test_rules_are_the_agreed_ones():
+    """Digests of every name and pattern: a changed one shows here, whatever else is built from the rules."""
+    rules = DEFAULT_RULES
+    assert _digest(sorted(rules.members)) == "d0682c28f4ac1cb6ce94f55651d3ccda"
+    assert _digest(f"{code}:{name}" for code, names in sorted(rules.buckets.items()) for name in names) == (
+        "4fdf8a948c51bd932d6e199ef53a0f73"
+    )
+    labels = [f"{pattern}>{label}" for pattern, label in (*rules.network_labels, *rules.genre_labels)]
+    roll_up = [f"{label}:{name}" for label, names in rules.roll_up.labels for name in names]
+    names = [rules.roll_up.genre, rules.roll_up.otherwise, rules.parent]
+    universe = [f"{column}={value}" for column, value in rules.universe.items()]
+    assert _digest([*labels, *rules.kept_labels, *rules.kept_prefixes, *roll_up, *names, *universe]) == (
+        "c4fcee7252a8060d7fb04c3d017766e8"
+    )
+
+
 # --- measures ---
 
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from sharemill import AsOf, CleanSettings, MartSettings, jobs
+from sharemill.plans import cleaning, marts
 from sharemill.sources import schemas
 from sharemill.sources.sinks import write_period, write_periods, write_snapshot
 from sharemill.sources.staging import new_folder, staged
@@ -173,3 +175,40 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     assert table.count() == 5 and all(shared in file for file in table.inputFiles())
     assert new_folder(spark, "a") != new_folder(spark, "a")
+
+
+def test_feed_folders_of_other_types(spark, tables):
+    """A week kept as int in the files is read as the declared text, also by the job."""
+    for name in ("channel_feed", "genre_feed"):
+        rows = spark.read.parquet(tables[name])
+        kinds = {c: rows[c].cast("int") for c in ("week", "week_no", "year_of_week") if c in rows.columns}
+        rows.withColumns(kinds).write.parquet(tables[name] + "_int")
+    paths = {**tables, "channel_feed": tables["channel_feed"] + "_int", "genre_feed": tables["genre_feed"] + "_int"}
+    jobs.clean(spark, AS_OF, **paths)
+    assert open_table(spark, f"{tables['output']}/LA_CHANNEL_TBL", schemas.CHANNEL_FACTS).count() == 2
+    assert open_table(spark, f"{tables['output']}/LA_CHANNEL_TBL_GENRE", schemas.GENRE_FACTS).count() == 3
+
+
+def test_bad_numbers_of_excluded_rows_never_fail_the_job(spark, tables):
+    """Also where the feed is a join, whose rows Spark may test in any order; a bad number that is kept fails."""
+    feed = spark.read.parquet(tables["genre_feed"])
+    bad = spark.createDataFrame([("gone(na)", "7", "2020", "India", "oops")], feed.schema)
+    names = spark.createDataFrame([("&TV",), ("COLORS",), ("colors",), ("gone(na)",)], "channel string")
+    master = spark.read.parquet(tables["master"])
+    for settings in (CleanSettings(), CleanSettings(drop_zero=True)):
+        cleaned = cleaning.clean_genre_facts(feed.union(bad).join(names, "channel"), master, settings)
+        assert cleaned.count() == (2 if settings.drop_zero else 3)
+        kept = feed.union(bad.withColumn("channel", F.lit("&TV"))).join(names, "channel")
+        with pytest.raises(Exception, match="not a number: oops"):
+            cleaning.clean_genre_facts(kept, master, settings).collect()
+
+
+def test_building_a_mart_runs_no_job(spark, tables):
+    output = tables["output"]
+    jobs.clean(spark, AS_OF, **tables)
+    channels = open_table(spark, f"{output}/LA_CHANNEL_TBL", schemas.CHANNEL_FACTS)
+    genres = open_table(spark, f"{output}/LA_CHANNEL_TBL_GENRE", schemas.GENRE_FACTS)
+    spark.sparkContext.setJobGroup("building", "")
+    built = [marts.network_share(channels, AS_OF), marts.genre_share(genres, AS_OF), marts.channel_details(channels, AS_OF)]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert built and not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
