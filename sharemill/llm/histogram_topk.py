@@ -217,5 +217,5 @@ def _select(spark, rows: DataFrame, state: dict[int, _Queries], need: dict[int,
 def _runs(row: np.ndarray) -> tuple[list[int], list[slice]]:
     """Values of a sorted array, and the slice that holds each."""
     values, starts = np.unique(row, return_index=True)
-    ends = np.append(starts[1:], len(row))
+    ends = np.append(starts, len(row))[1:]
     return values.tolist(), [slice(a, b) for a, b in zip(starts, ends, strict=True)]
