@@ -38,7 +38,7 @@ class Fit:
     documents: int = 4000
     windows: int = 100_000
     window: int = 40
-    shared: int = 1600
+    shared: int = 3200
     own: int = 600
     errors: float = 4.0
     ratio: float = 3.0
@@ -173,12 +173,10 @@ def fitted(docs: DataFrame, labels: DataFrame, fit: Fit) -> Model:
 def _dictionaries(toxic: dict[int, list[bytes]], ordinary: dict[int, list[bytes]], fit: Fit) -> tuple[bytes, bytes]:
     """Dictionary contents from the windows by document: what both classes share, then (where references are
     cheapest) what is each one's own. Both have the same layout, so that margins come from what differs alone."""
-    mixed = [w for sample in (toxic, ordinary) for found in sample.values() for w in found]
-    header, shared = _trained(mixed, fit.shared)
     # a document counts once, however often it repeats a word, and copies of a document count once
     bags = [list({frozenset(w for x in found for w in _plain(x)) for found in sample.values()}) for sample in (toxic, ordinary)]
     counts, sizes = [Counter(w for bag in x for w in bag) for x in bags], [len(x) for x in bags]
-    own = []
+    own, telling = [], set()
     for mine, other in ((0, 1), (1, 0)):
         strength = {}
         for word, n in counts[mine].items():
@@ -188,10 +186,14 @@ def _dictionaries(toxic: dict[int, list[bytes]], ordinary: dict[int, list[bytes]
             if len(word) > 2 and p > fit.ratio * q and p - q > fit.errors * error:
                 strength[word] = (p - q) / error
         least = fit.strongest * max(strength.values(), default=0.0)
-        strength = {w: x for w, x in strength.items() if x >= least}
+        strength = {w for w, x in strength.items() if x >= least}
+        telling |= strength
         left = [b" ".join(sorted(w for w in bag if w in strength)) for bag in bags[mine]]
         own.append(_trained(sorted(x for x in left if x), fit.own)[1])
-    filler = _trained(mixed[::2], fit.own)[1]
+    # what is shared must tell nothing, else it would be in both dictionaries
+    neutral = [w for sample in (ordinary, toxic) for found in sample.values() for w in found if telling.isdisjoint(_plain(w))]
+    header, shared = _trained(neutral, fit.shared)
+    filler = _trained(neutral[::2], fit.own)[1]
     return tuple(header + shared + (filler[: max(0, fit.own - len(x))] + x).rjust(fit.own) for x in own)
 
 
