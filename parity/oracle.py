@@ -512,6 +512,9 @@ ORACLE["genre_share_nan"] = genre_share(source=_changed(_GENRE, "share_pct", NAN
 ORACLE["genre_share_zero_total"] = genre_share(source=_changed(_GENRE, "share_pct", ZERO_ROWS, "0"))
 ORACLE["channel_details_nulls"] = channel_details(source=_changed(_DETAILS, "grp", NULL_ROWS, "null"))
 ORACLE["check_schema"] = network_share()
+ORACLE["network_share_from_sums"] = network_share()
+ORACLE["genre_share_from_sums"] = genre_share()
+ORACLE["channel_details_from_sums"] = channel_details()
 ORACLE["clean_numeric_underscores"] = wide("""l_orderkey, l_linenumber, cast(replace("rat%", ',', '') as double) as grp""")
 ORACLE["enrich_fan_out"] = ORACLE["enrich_ci"].replace(
     f"({MASTER})", f"(from ({MASTER}) union all select * replace (lower(channel) as channel, 'again' as network) from ({MASTER}))"

@@ -602,6 +602,31 @@ def _changed(build, columns, name, when, value) -> Query:
     return mart
 
 
+def _from_sums(sums, build, columns, weeks_first) -> Query:
+    """A mart over sums kept by week, one week of which is first written wrong and then replaced."""
+
+    def mart(spark, sf_dir):
+        kept = sums(facts(spark, sf_dir, columns), RULES)
+        base = new_folder(spark, "sums")
+        wrong = F.when((F.col("year_of_week") == AS_OF.year) & (F.col("week_no") == AS_OF.week), F.col(weeks_first) * 2)
+        sinks.write_periods(kept.withColumn(weeks_first, F.coalesce(wrong, weeks_first)), base)
+        one_week = kept.where((F.col("year_of_week") == AS_OF.year) & (F.col("week_no") == AS_OF.week))
+        sinks.write_periods(one_week, base)
+        return build(open_table(spark, base, kept.schema), AS_OF, RULES)
+
+    return mart
+
+
+QUERIES["network_share_from_sums"] = _from_sums(marts.network_sums, marts.network_share_from_sums, NETWORK_COLUMNS, "share_pct")
+QUERIES["genre_share_from_sums"] = _from_sums(marts.genre_sums, marts.genre_share_from_sums, GENRE_COLUMNS, "share_pct")
+
+
+@query
+def channel_details_from_sums(spark, sf_dir):
+    mart = _from_sums(marts.detail_sums, marts.channel_details_from_sums, DETAIL_COLUMNS, "grp")
+    return mart(spark, sf_dir).drop("update_date")
+
+
 # Fixed inputs of the keys below: which rows are changed.
 NAN_ROWS = "regions = 'ASIA' and week_no = 39"
 ZERO_ROWS = "regions = 'EUROPE' and week_no = 40"

@@ -14,7 +14,7 @@ import argparse
 import dataclasses
 from datetime import date
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from sharemill.asof import AsOf
 from sharemill.operators.checks import check_count, check_schema, check_total
@@ -22,7 +22,7 @@ from sharemill.plans import cleaning, marts
 from sharemill.rules import DEFAULT_RULES, Rules
 from sharemill.settings import CleanSettings, MartSettings
 from sharemill.sources import schemas
-from sharemill.sources.sinks import write_period, write_snapshot
+from sharemill.sources.sinks import period_path, write_period, write_snapshot
 from sharemill.sources.tables import open_table, written_table
 
 # Folder names of the outputs.
@@ -107,6 +107,39 @@ def build_marts(
     }
 
 
+# Folder names of the kept sums, and what each is computed by.
+SUMS = {
+    f"{NETWORK_SHARE}_SUMS": (marts.network_sums, marts.network_share_from_sums),
+    f"{GENRE_SHARE}_SUMS": (marts.genre_sums, marts.genre_share_from_sums),
+    f"{CHANNEL_DETAILS}_SUMS": (marts.detail_sums, marts.channel_details_from_sums),
+}
+
+
+def update_sums(
+    spark: SparkSession, asof: AsOf, *, facts: str, output: str, rules: Rules = DEFAULT_RULES
+) -> dict[str, str]:
+    """Add one folder of the fact tables that ``clean`` wrote below ``facts`` to the kept sums, or replace it there.
+
+    Only that folder is read, so a weekly run doesn't grow with the history. A genre folder may hold weeks of any
+    year; its sums keep their own weeks, and the marts add them over folders.
+    """
+    source = {f"{GENRE_SHARE}_SUMS": (GENRE_FACTS, schemas.GENRE_FACTS)}
+    paths = {}
+    for name, (build, _) in SUMS.items():
+        table, declared = source.get(name, (CHANNEL_FACTS, schemas.CHANNEL_FACTS))
+        rows = open_table(spark, period_path(f"{facts.rstrip('/')}/{table}", asof), declared)
+        paths[name] = write_period(build(rows, rules), f"{output.rstrip('/')}/{name}", asof, cluster=())
+    return paths
+
+
+def marts_from_sums(
+    spark: SparkSession, asof: AsOf, *, sums: str, rules: Rules = DEFAULT_RULES, settings: MartSettings = MartSettings()
+) -> dict[str, DataFrame]:
+    """The three marts, by folder name, over the sums kept below ``sums``."""
+    tables = {name: spark.read.parquet(f"{sums.rstrip('/')}/{name}").drop("P_YEAR_OF_WEEK", "P_WEEK_NO") for name in SUMS}
+    return {name.removesuffix("_SUMS"): mart(tables[name], asof, rules, settings) for name, (_, mart) in SUMS.items()}
+
+
 def _add_settings(parser: argparse.ArgumentParser, settings: object) -> None:
     for field in dataclasses.fields(settings):
         option = "--" + field.name.replace("_", "-")

@@ -24,6 +24,7 @@ from sharemill.rules import DEFAULT_RULES, Rules
 from sharemill.settings import MartSettings
 
 TRIMMED = ("network", "channel", "genre", "regions", "targets")
+WEEK = ("year_of_week", "week_no")
 
 
 def network_share(
@@ -45,6 +46,33 @@ def network_share(
             "share_pct",
         )
     )
+    return _network_mart(weekly, asof, rules, settings)
+
+
+def network_sums(facts: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """What ``network_share`` needs of the facts of some weeks: sums by owner and week in the universe."""
+    return (
+        facts.transform(filter_eq, rules.universe, trimmed=True)
+        .transform(trim_dims, TRIMMED)
+        .transform(sum_by, [_owner(rules).alias("network"), *WEEK], "share_pct")
+    )
+
+
+def network_share_from_sums(
+    sums: DataFrame, asof: AsOf, rules: Rules = DEFAULT_RULES, settings: MartSettings = MartSettings()
+) -> DataFrame:
+    """``network_share`` from the kept sums of all weeks; a week may be in several pieces."""
+    windows = Windows.at(asof, settings)
+    weekly = sums.transform(_needed, windows, settings).transform(
+        sum_by,
+        [classify(F.col("network"), rules.network_labels).alias("network"), _period_if_needed(windows, settings)],
+        "share_pct",
+    )
+    return _network_mart(weekly, asof, rules, settings)
+
+
+def _network_mart(weekly: DataFrame, asof: AsOf, rules: Rules, settings: MartSettings) -> DataFrame:
+    windows = Windows.at(asof, settings)
     share = fixed_point(F.col("share_pct"), settings.overflow)
     ranked = (
         weekly.transform(
@@ -78,6 +106,28 @@ def genre_share(
         .transform(_needed, windows, settings)
         .transform(sum_by, ["regions", _owner(rules).alias("network"), _period(settings)], "share_pct")
     )
+    return _genre_mart(sums, asof, rules, settings)
+
+
+def genre_sums(facts: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """What ``genre_share`` needs of the facts of some weeks: sums by region, owner and week."""
+    return facts.transform(trim_dims, TRIMMED).transform(
+        sum_by, ["regions", _owner(rules).alias("network"), *WEEK], "share_pct"
+    )
+
+
+def genre_share_from_sums(
+    sums: DataFrame, asof: AsOf, rules: Rules = DEFAULT_RULES, settings: MartSettings = MartSettings()
+) -> DataFrame:
+    """``genre_share`` from the kept sums of all weeks; a week may be in several pieces."""
+    weekly = sums.transform(_needed, Windows.at(asof, settings), settings).transform(
+        sum_by, ["regions", "network", _period(settings)], "share_pct"
+    )
+    return _genre_mart(weekly, asof, rules, settings)
+
+
+def _genre_mart(sums: DataFrame, asof: AsOf, rules: Rules, settings: MartSettings) -> DataFrame:
+    windows = Windows.at(asof, settings)
     shares = (
         # rows without a network count in the total and are dropped after it
         sums.transform(partition_total, ["regions", "period"], "share_pct", "total_pct")
@@ -131,6 +181,35 @@ def channel_details(
             "grp",
         )
     )
+    return _details_mart(weekly, asof, rules, settings)
+
+
+def detail_sums(facts: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """What ``channel_details`` needs of the facts of some weeks: sums by its groups and week."""
+    channel = rolled_up(F.col("channel"), F.col("genre_fta_pay"), rules.roll_up).alias("channel")
+    places = [F.col("genre_fta_pay").alias("genre"), F.col("regions").alias("market"), F.col("targets").alias("demography")]
+    return (
+        facts.transform(trim_dims, TRIMMED)
+        .transform(keep_members, "channel", rules.members)
+        .transform(sum_by, ["network", channel, *places, *WEEK], "grp")
+    )
+
+
+def channel_details_from_sums(
+    sums: DataFrame, asof: AsOf, rules: Rules = DEFAULT_RULES, settings: MartSettings = MartSettings()
+) -> DataFrame:
+    """``channel_details`` from the kept sums of all weeks; a week may be in several pieces."""
+    windows = Windows.at(asof, settings)
+    weekly = sums.transform(_needed, windows, settings).transform(
+        sum_by,
+        ["network", "channel", "genre", "market", "demography", _period_if_needed(windows, settings)],
+        "grp",
+    )
+    return _details_mart(weekly, asof, rules, settings)
+
+
+def _details_mart(weekly: DataFrame, asof: AsOf, rules: Rules, settings: MartSettings) -> DataFrame:
+    windows = Windows.at(asof, settings)
     grp = F.col("grp")
     pivoted = weekly.transform(
         period_pivot,

@@ -14,6 +14,10 @@ PERIOD_FOLDER = "P_YEAR_OF_WEEK={year}/P_WEEK_NO={week}"
 SNAPSHOT_FOLDER = "P_YEAR_OF_WEEK=0000/P_WEEK_NO=00"
 
 
+def period_path(base: str, asof: AsOf) -> str:
+    return f"{base.rstrip('/')}/{PERIOD_FOLDER.format(year=asof.year, week=asof.week)}"
+
+
 def write_period(df: DataFrame, base: str, asof: AsOf, cluster: Sequence[str] | None = None) -> str:
     """Replace the folder of one period (also with no rows) and return its path. Weeks are not zero-padded.
 
@@ -22,7 +26,7 @@ def write_period(df: DataFrame, base: str, asof: AsOf, cluster: Sequence[str] |
     tasks with few rows. If it names columns, rows alike in them share files and lie together, so that readers
     filtering on them skip the rest; a combination too large for one file is split.
     """
-    path = f"{base.rstrip('/')}/{PERIOD_FOLDER.format(year=asof.year, week=asof.week)}"
+    path = period_path(base, asof)
     if cluster is not None:
         df = df.hint("rebalance", *cluster)
     if cluster:

@@ -212,3 +212,23 @@ def test_building_a_mart_runs_no_job(spark, tables):
     built = [marts.network_share(channels, AS_OF), marts.genre_share(genres, AS_OF), marts.channel_details(channels, AS_OF)]
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert built and not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+
+
+def test_marts_from_kept_sums(spark, tables):
+    """The same marts as from all facts; adding a week reads that week's folder alone, also when it is repeated."""
+    output = tables["output"]
+    for week in (6, 7, 7):
+        jobs.clean(spark, AsOf(2020, week), **tables)
+        paths = jobs.update_sums(spark, AsOf(2020, week), facts=output, output=output)
+        assert all(path.endswith(f"P_YEAR_OF_WEEK=2020/P_WEEK_NO={week}") for path in paths.values())
+    found = jobs.marts_from_sums(spark, AS_OF, sums=output)
+    channels = open_table(spark, f"{output}/LA_CHANNEL_TBL", schemas.CHANNEL_FACTS)
+    genres = open_table(spark, f"{output}/LA_CHANNEL_TBL_GENRE", schemas.GENRE_FACTS)
+    expected = {
+        "LA_NETWORK_SHARE": marts.network_share(channels, AS_OF),
+        "LA_NETWORK_GENRE_SHARE": marts.genre_share(genres, AS_OF),
+        "LA_CHANNEL_DETAILS": marts.channel_details(channels, AS_OF),
+    }
+    for name, mart in expected.items():
+        rows, same = ([str(r) for r in x.drop("update_date").collect()] for x in (mart, found[name]))
+        assert rows and sorted(rows) == sorted(same)
