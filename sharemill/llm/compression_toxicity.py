@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from sharemill.llm.splits import held_out
 from sharemill.llm.words import pieces, utf8
 
-CLEAR = (2, 3, 4, 5, 6, 8)
+CLEAR = (1, 2, 3, 4, 5, 7)
 FEATURES = 4 + len(CLEAR)
 #: Fixed value: the repeat offsets 1, 4 and 8, with which the header of a trained zstandard dictionary ends.
 _REPEATS = b"\x01\x00\x00\x00\x04\x00\x00\x00\x08\x00\x00\x00"
@@ -32,15 +32,15 @@ _EDGES = b".,;:!?%$&*#|\"'()<>[]{}=+-_/\\"
 @dataclass(frozen=True)
 class Fit:
     """Bounds of the labelled sample, per class: documents (those with the smallest hashes of their id) and windows
-    of them (likewise); bytes of a window and of the dictionaries; when a word tells the classes apart (in
-    standard errors of the difference of its shares, as a ratio of them, and against the most telling word)."""
+    of them (likewise); bytes of a window and of the dictionaries; when a beginning of words tells the classes apart (in
+    standard errors of the difference of its shares of documents, as a ratio of them, and against the most telling one)."""
 
     documents: int = 4000
-    windows: int = 100_000
-    window: int = 40
-    shared: int = 3200
+    windows: int = 60_000
+    window: int = 100
+    shared: int = 6400
     own: int = 600
-    errors: float = 4.0
+    errors: float = 6.0
     ratio: float = 3.0
     strongest: float = 0.25
 
@@ -175,26 +175,34 @@ def _dictionaries(toxic: dict[int, list[bytes]], ordinary: dict[int, list[bytes]
     cheapest) what is each one's own. Both have the same layout, so that margins come from what differs alone."""
     # a document counts once, however often it repeats a word, and copies of a document count once
     bags = [list({frozenset(w for x in found for w in _plain(x)) for found in sample.values()}) for sample in (toxic, ordinary)]
-    counts, sizes = [Counter(w for bag in x for w in bag) for x in bags], [len(x) for x in bags]
+    counts, sizes = [Counter(stem for bag in x for stem in {s for w in bag for s in _stems(w)}) for x in bags], [len(x) for x in bags]
     own, telling = [], set()
     for mine, other in ((0, 1), (1, 0)):
         strength = {}
-        for word, n in counts[mine].items():
-            p, q = n / sizes[mine], counts[other][word] / sizes[other]
-            both = (n + counts[other][word]) / sum(sizes)
+        for stem, n in counts[mine].items():
+            p, q = n / sizes[mine], counts[other][stem] / sizes[other]
+            both = (n + counts[other][stem]) / sum(sizes)
             error = np.sqrt(both * (1 - both) * (1 / sizes[0] + 1 / sizes[1])) + 1e-12
-            if len(word) > 2 and p > fit.ratio * q and p - q > fit.errors * error:
-                strength[word] = (p - q) / error
+            if p > fit.ratio * q and p - q > fit.errors * error:
+                strength[stem] = (p - q) / error
         least = fit.strongest * max(strength.values(), default=0.0)
-        strength = {w for w, x in strength.items() if x >= least}
-        telling |= strength
-        left = [b" ".join(sorted(w for w in bag if w in strength)) for bag in bags[mine]]
-        own.append(_trained(sorted(x for x in left if x), fit.own)[1])
+        strength = {s: x for s, x in strength.items() if x >= least}
+        # of the stems of a word the most telling one, of equals the longest
+        words = {w for bag in bags[mine] for w in bag}
+        chosen = {max((s for s in _stems(w) if s in strength), key=lambda s: (strength[s], len(s)), default=None) for w in words} - {None}
+        telling |= chosen
+        # the most telling come last, where references to them are cheapest
+        own.append(b" ".join(sorted(chosen, key=lambda s: (strength[s], s)))[-fit.own :])
     # what is shared must tell nothing, else it would be in both dictionaries
-    neutral = [w for sample in (ordinary, toxic) for found in sample.values() for w in found if telling.isdisjoint(_plain(w))]
+    neutral = [x for sample in (ordinary, toxic) for found in sample.values() for x in found if not any(s in telling for w in _plain(x) for s in _stems(w))]
     header, shared = _trained(neutral, fit.shared)
     filler = _trained(neutral[::2], fit.own)[1]
-    return tuple(header + shared + (filler[: max(0, fit.own - len(x))] + x).rjust(fit.own) for x in own)
+    return tuple(header + shared + (filler[: max(0, fit.own - len(x))] + b" " + x).rjust(fit.own + 1) for x in own)
+
+
+def _stems(word: bytes) -> set[bytes]:
+    """The beginnings of a word, and the word."""
+    return {word[:n] for n in range(4, min(9, len(word) + 1))} | ({word} if len(word) > 3 else set())
 
 
 def _plain(window: bytes) -> list[bytes]:
