@@ -33,7 +33,7 @@ class Fit:
     id), from each so many runs of so many words (those with the smallest hashes); steps of the optimizer; how
     many training chains of two runs join two languages."""
 
-    documents: int = 1000
+    documents: int = 500
     runs: int = 4
     words: int = 16
     steps: int = 60
@@ -61,7 +61,7 @@ def _features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word number, bucket) of every feature, and each word's scale."""
     marked = np.frombuffer(b"".join(b"\x02" + w + b"\x03" for w in words), np.uint8).astype(np.uint64)
     lengths = np.fromiter((len(w) + 2 for w in words), np.int64, len(words))
-    owner = np.repeat(np.arange(len(words)), lengths)
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), lengths)
     found, buckets = [], []
     factor, spread, shift = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15), np.uint64(64 - BITS)
     gram = np.zeros(0, np.uint64)
@@ -69,13 +69,13 @@ def _features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         gram = marked + np.uint64(1) if n == 1 else gram[:-1] * factor + marked[n - 1 :] + np.uint64(1)
         inside = owner[: len(gram)] == owner[n - 1 :] if n > 1 else np.ones(len(gram), bool)
         found.append(owner[: len(gram)][inside])
-        buckets.append(((gram[inside] * spread + np.uint64(n)) * spread >> shift).astype(np.int64))
+        buckets.append(((gram[inside] * spread + np.uint64(n)) * spread >> shift).astype(np.int32))
     starts = np.cumsum(lengths) - lengths
     place = np.arange(len(marked), dtype=np.uint64) - np.repeat(starts, lengths).astype(np.uint64)
     mixed = (marked + place * spread) * spread
     whole = np.add.reduceat((mixed ^ (mixed >> np.uint64(29))) * spread, starts)
-    found.append(np.arange(len(words)))
-    buckets.append((whole * spread >> shift).astype(np.int64))
+    found.append(np.arange(len(words), dtype=np.int32))
+    buckets.append((whole * spread >> shift).astype(np.int32))
     return np.concatenate(found), np.concatenate(buckets), 1 / np.sqrt(4.0 * lengths)
 
 
@@ -152,13 +152,13 @@ def _train(labels: list[str], sample: list[tuple[int, bytes]], fit: Fit) -> Mode
         return Model(labels, np.zeros((1 << BITS, n), np.float32), np.zeros((n, n)))
     known = {w: at for at, w in enumerate(dict.fromkeys(w for chain in chains for w in chain))}
     words = np.fromiter((known[w] for chain in chains for w in chain), np.int64)
-    gold = np.eye(n)[np.concatenate([np.array(m) for m in marks])]
+    gold = np.eye(n, dtype=np.float32)[np.concatenate([np.array(m) for m in marks])]
     lengths = np.array([len(c) for c in chains])
     inner = np.ones(len(words), bool)
     inner[np.cumsum(lengths) - 1] = False
     moves = gold[:-1][inner[:-1]].T @ gold[1:][inner[:-1]]
     owner, bucket, scale = _features(list(known))
-    weights, transitions = np.zeros((1 << BITS, n)), np.zeros((n, n))
+    weights, transitions = np.zeros((1 << BITS, n), np.float32), np.zeros((n, n))
     state = [[np.zeros_like(x), np.zeros_like(x)] for x in (weights, transitions)]
     for step in range(1, fit.steps + 1):
         local = np.stack([np.bincount(owner, weights[bucket, k], len(known)) * scale for k in range(n)], axis=1)
