@@ -32,13 +32,19 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
     # only linked rows take part in the rounds
     linked = start.join(both.select("node").distinct(), "node", "left_semi")
     path, schema = write_staged(linked, "labels"), linked.schema
-    for turn in range(rounds if not both.isEmpty() else 0):
+    for turn in range(rounds):
         labels = spark.read.schema(schema).parquet(path)
-        wishes = _wishes(labels, both, turn, seed)
-        admitted = _admitted(labels, wishes, room, turn, seed)
+        wishes = _wishes(labels, both)
+        asked = write_staged(wishes, "wishes")
+        queue = spark.read.schema(wishes.schema).parquet(asked)
+        if queue.isEmpty():
+            remove(spark, asked)
+            break
+        admitted = _admitted(labels, queue, room, turn, seed)
         moved = labels.join(admitted, "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
         new = write_staged(moved, "labels")
         remove(spark, path)
+        remove(spark, asked)
         path = new
     labels = spark.read.schema(schema).parquet(path)
     inside = _neighbours(labels, both).join(labels, ["node", "shard"]).select("node", "links")
@@ -55,25 +61,25 @@ def _neighbours(labels: DataFrame, both: DataFrame) -> DataFrame:
     return near.groupBy("node", "shard").agg(F.count(F.lit(1)).alias("links"))
 
 
-def _wishes(labels: DataFrame, both: DataFrame, turn: int, seed: int) -> DataFrame:
-    """(node, target): the shard with most neighbours (the lowest of equals), where that is more than at home.
-
-    Half of the rows, by a hash, sit out a round, so that two neighbours don't swap places.
-    """
+def _wishes(labels: DataFrame, both: DataFrame) -> DataFrame:
+    """(node, target): the shard with most neighbours (the lowest of equals), where that is more than at home."""
     counts = _neighbours(labels, both)
-    best = counts.groupBy("node").agg(F.max(F.struct("links", (-F.col("shard")).alias("least"))).alias("best"))
-    home = labels.join(counts, ["node", "shard"], "left").select("node", "shard", F.coalesce("links", F.lit(0)).alias("links"))
-    target = -F.col("best.least")
-    asked = home.join(best, "node").where((target != F.col("shard")) & (F.col("best.links") > F.col("links")))
-    awake = F.pmod(F.xxhash64("node", F.lit(f"awake{seed}:{turn}")), F.lit(2)) == 0
-    return asked.where(awake).select("node", target.cast("int").alias("target"))
+    # the home shard's number of neighbours comes along with the best
+    home = F.max(F.when(F.col("shard") == F.col("home"), F.col("links")))
+    best = F.max(F.struct("links", (-F.col("shard")).alias("least")))
+    found = counts.join(labels.withColumnRenamed("shard", "home"), "node").groupBy("node", "home").agg(best.alias("best"), F.coalesce(home, F.lit(0)).alias("links"))
+    return found.where(F.col("best.links") > F.col("links")).select("node", (-F.col("best.least")).cast("int").alias("target"))
 
 
 def _admitted(labels: DataFrame, wishes: DataFrame, room: int, turn: int, seed: int) -> DataFrame:
-    """The wishes that fit: as many steps of a shard's queue as leave its linked rows within ``room``."""
+    """The wishes that fit: as many steps of a shard's queue as leave its linked rows within ``room``.
+
+    Half of the rows, by a hash, sit out a round, so that two neighbours don't swap places.
+    """
+    awake = F.pmod(F.xxhash64("node", F.lit(f"awake{seed}:{turn}")), F.lit(2)) == 0
     step = F.pmod(F.xxhash64("node", F.lit(f"queue{seed}:{turn}")), F.lit(STEPS))
-    queue = wishes.withColumn("step", step)
-    taken = labels.join(wishes, "node", "left_anti").groupBy("shard").agg(F.count(F.lit(1)).alias("stay"))
+    queue = wishes.where(awake).withColumn("step", step)
+    taken = labels.join(queue, "node", "left_anti").groupBy("shard").agg(F.count(F.lit(1)).alias("stay"))
     # a row per shard and step
     sizes = queue.groupBy("target", "step").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("target").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
