@@ -1,8 +1,11 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on toxic and one on ordinary text; both begin with what the classes
-share. A window of text that shrinks more with the toxic dictionary than with the ordinary one looks toxic. The
-margins of a document's windows become a score by a logistic fit, whose 0.5 is the calibrated threshold.
+One zstandard dictionary is trained, on windows of both classes without words that tell them apart. It is the shared
+part of two dictionaries, a toxic and an ordinary one, whose class parts aren't trained: each is a list of words and
+beginnings of words that a statistical test finds more often in its class. A window of text that shrinks more with the
+toxic dictionary than with the ordinary one looks toxic. The margins of a document's windows become a score by a
+logistic fit, whose 0.5 is the calibrated threshold. Two dictionaries trained apart, one on each class, tell the
+classes worse (figures in the README).
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ _EDGES = b".,;:!?%$&*#|\"'()<>[]{}=+-_/\\"
 @dataclass(frozen=True)
 class Fit:
     """Bounds of the labelled sample, per class: documents (those with the smallest hashes of their id) and windows
-    of them (likewise); bytes of a window and of the dictionaries; when a beginning of words tells the classes apart (in
+    of them (likewise); bytes of a window, of the shared part of a dictionary, and of its class part at least and at most; when a beginning of words tells the classes apart (in
     standard errors of the difference of its shares of documents, as a ratio of them, and against the most telling one)."""
 
     documents: int = 4000
@@ -40,6 +43,7 @@ class Fit:
     window: int = 100
     shared: int = 6400
     own: int = 600
+    most: int = 65_536
     errors: float = 6.0
     ratio: float = 3.0
     strongest: float = 0.25
@@ -192,17 +196,18 @@ def _dictionaries(toxic: dict[int, list[bytes]], ordinary: dict[int, list[bytes]
         chosen = {max((s for s in _stems(w) if s in strength), key=lambda s: (strength[s], len(s)), default=None) for w in words} - {None}
         telling |= chosen
         # the most telling come last, where references to them are cheapest
-        own.append(b" ".join(sorted(chosen, key=lambda s: (strength[s], s)))[-fit.own :])
+        own.append(b" ".join(sorted(chosen, key=lambda s: (strength[s], s)))[-fit.most :])
     # what is shared must tell nothing, else it would be in both dictionaries
     neutral = [x for sample in (ordinary, toxic) for found in sample.values() for x in found if not any(s in telling for w in _plain(x) for s in _stems(w))]
     header, shared = _trained(neutral, fit.shared)
-    filler = _trained(neutral[::2], fit.own)[1]
-    return tuple(header + shared + (filler[: max(0, fit.own - len(x))] + b" " + x).rjust(fit.own + 1) for x in own)
+    room = max(fit.own, *map(len, own))
+    filler = _trained(neutral[::2], room)[1]
+    return tuple(header + shared + (filler[: max(0, room - len(x))] + b" " + x + b" ").rjust(room + 2) for x in own)
 
 
 def _stems(word: bytes) -> set[bytes]:
-    """The beginnings of a word, and the word."""
-    return {word[:n] for n in range(4, min(9, len(word) + 1))} | ({word} if len(word) > 3 else set())
+    """The beginnings of a word, and the word. Shorter words are matched with the blanks around them."""
+    return {word[:n] for n in range(4, min(9, len(word) + 1))} | ({word} if word else set())
 
 
 def _plain(window: bytes) -> list[bytes]:

@@ -346,3 +346,15 @@ def test_toxicity_of_held_out_documents(spark):
     truth = {k: t for k, _, t in rows}
     good = sum(r["predicted"] == truth[r["doc_id"]] for r in found)
     assert len(found) > 200 and good >= 0.93 * len(found)
+
+
+def test_class_parts_hold_every_telling_word():
+    from sharemill.llm.compression_toxicity import Fit, _dictionaries
+
+    telling = [b"vile%05d" % (k * k + 10_000) for k in range(150)] + [b"zq", b"xkj"]
+    neutral = {d: [" ".join(made_words(d * 10 + k, 15)).encode() for k in range(4)] for d in range(400)}
+    toxic = {d: [*neutral[d], b" ".join(telling)] for d in range(200)}
+    ordinary = {d: neutral[d] for d in range(200, 400)}
+    found = _dictionaries(toxic, ordinary, Fit())
+    assert len(b" ".join(telling)) > 2 * Fit().own and len(found[0]) == len(found[1])
+    assert all(b" " + w + b" " in found[0] and w not in found[1].split() for w in telling)
