@@ -19,6 +19,8 @@ from sharemill.llm.tables import fresh, quoted, staged
 MALE = ("Mr", "Mister", "Herr", "Señor", "Monsieur", "Sr", "г-н", "господин", "κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Señora", "Señorita", "Madame", "Mme", "Sra", "г-жа", "госпожа", "κυρία")
 _TITLES = "|".join(sorted(MALE + FEMALE, key=len, reverse=True))
+#: Titles in any case, except "miss" and "ms" in lower case: a verb and a unit. The name after one starts with a capital.
+_TITLE = rf"(?!(?:miss|ms)\b)(?iu:{_TITLES})"
 _NAME = r"\p{Lu}[\p{L}'’-]+"
 
 #: Kind and pattern, the first that matches at a place counts. Leading runs are possessive and start where a word
@@ -26,17 +28,21 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "access_key": r"(?<![A-Z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "secret": r"(?<=(?:password|passwd|secret|token|api_key)(?: ?[=:] ?[\"']?))[A-Za-z0-9/+_-]{8,200}+",
+    "secret": r"(?<=(?i:password|passwd|secret|token|api_key)(?: ?[=:] ?[\"']?))[A-Za-z0-9/+_-]{8,200}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
     "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])",
     "card": r"(?<![0-9.])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
-    "person": rf"(?<!\p{{L}})(?:{_TITLES})\.? {_NAME}(?: {_NAME})?",
+    "person": rf"(?<!\p{{L}}){_TITLE}\.? {_NAME}(?: {_NAME})?",
 }
 ENTITY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: What no entity is without: a digit or at-sign, the name of a secret, or a title (here by stems of them all).
-HINTS = ("password", "passwd", "secret", "token", "api_key", "Mr", "Ms", "Mis", "Mme", "Mada", "Monsi", "Herr", "Frau", "Señor", "Sr", "г-", "госпо", "κύρι", "κυρί")
+#: What no entity is without, in lower case: a digit or at-sign, the name of a secret or key, or a title (here by stems of
+#: them all, with a blank or period after those that are short).
+HINTS = (
+    "password", "passwd", "secret", "token", "api_key", "akia", *(f"{t}{end}" for t in ("mr", "mrs", "ms", "sr", "sra", "mme") for end in " ."),
+    "miss ", "mister", "miss.", "madame", "monsieur", "herr", "frau", "señor", "г-", "госпо", "κύρι", "κυρί",
+)
 
 # Syllables and endings of drawn names, by script.
 SYLLABLES = {
@@ -96,7 +102,7 @@ def _card(entity: Column) -> Column:
 
 def _person(entity: Column) -> tuple[Column, Column]:
     """Title and the words of the name."""
-    pattern = rf"^((?:{_TITLES})\.?) (.+)$"
+    pattern = rf"^({_TITLE}\.?) (.+)$"
     return F.regexp_extract(entity, pattern, 1), F.split(F.regexp_extract(entity, pattern, 2), " ")
 
 
@@ -104,7 +110,7 @@ def _units(entities: DataFrame) -> DataFrame:
     """(entity, kind, at, unit_kind, norm): what gets a surrogate of its own. A person's words are units, given names
     by gender, so that a family name alone leads to the same person."""
     title, words = _person(F.col("entity"))
-    female = F.regexp_replace(title, r"\.$", "").isin(*FEMALE)
+    female = F.lower(F.regexp_replace(title, r"\.$", "")).isin(*[t.lower() for t in FEMALE])
     given = F.when(female, F.lit("given_f")).otherwise(F.lit("given_m"))
     of_person = F.transform(
         words, lambda w, i: F.struct(i.alias("at"), F.when(i < F.size(words) - 1, given).otherwise(F.lit("family")).alias("unit_kind"), F.lower(w).alias("norm"))
@@ -213,7 +219,8 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     """
     column, n = quoted(text), fresh(docs.columns, count)
     # plain searches first: they are far cheaper than the patterns
-    hint = reduce(Column.__or__, [column.contains(word) for word in HINTS], column.rlike("[0-9@]"))
+    plain = F.lower(column)
+    hint = reduce(Column.__or__, [plain.contains(word) for word in HINTS], column.rlike("[0-9@]"))
     has = F.coalesce(hint & column.rlike(ENTITY), F.lit(False))
     # texts by their digest: copies are looked at once
     digest = F.md5(column.cast("binary"))
