@@ -28,7 +28,7 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "access_key": r"(?<![A-Z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "secret": r"(?<=(?i:password|passwd|secret|token|api_key)(?: ?[=:] ?[\"']?))[A-Za-z0-9/+_-]{8,200}+",
+    "secret": r"(?<=(?i:password|passwd|secret|token|api_key)(?: ?[=:] ?[\"']?))(?=[/+_-]{0,199}[A-Za-z0-9])[A-Za-z0-9/+_-]{8,200}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -56,6 +56,8 @@ ENDINGS = {
     "Greek": {"given_m": ("ος", "ης", "ας"), "given_f": ("α", "η", "ια"), "family": ("ίδης", "άκης", "όπουλος")},
 }
 MAX_DRAWS = 64
+#: Draws in a unit's own format; each further one is longer by one more character, so that there is always room.
+IN_FORMAT = 8
 
 
 def _stream(key: str, attempt: Column, *parts: Column, length: Column) -> Column:
@@ -129,10 +131,15 @@ def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     """The surrogate of a unit, in its plain form."""
     stream = _stream(key, attempt, kind, norm, length=F.length(norm) + attempt + 8)
     same = _same_format(norm, stream)
+    # what a unit gets at its end where its format has no room left: letters, or digits where it has digits alone
+    spare = F.slice(stream, F.length(norm) + 1, F.greatest(attempt - (IN_FORMAT - 1), F.lit(0)))
+    letters = F.array_join(F.transform(spare, lambda b: _pick("abcdefghijklmnopqrstuvwxyz", b)), "")
+    figures = F.array_join(F.transform(spare, lambda b: _pick("0123456789", b)), "")
+    extra = F.when(kind.isin("email", "secret"), letters).when(kind == "access_key", F.upper(letters)).otherwise(figures)
     at = F.instr(norm, "@")
     local = F.substring(norm, F.lit(1), at - 1)
     domain = F.substring(F.sha2(F.concat_ws("\u0001", F.lit(key), F.substring(norm, at + 1, F.length(norm))), 256), 1, 8)
-    email = F.concat(_same_format(local, F.slice(stream, F.lit(1), F.length(local))), F.lit("@mail"), domain, F.lit(".example.com"))
+    email = F.concat(_same_format(local, F.slice(stream, F.lit(1), F.length(local))), extra, F.lit("@mail"), domain, F.lit(".example.com"))
     octets = F.transform(F.slice(stream, 1, 4), lambda b: (b % 254 + 1).cast("string"))
     ip = F.concat((F.element_at(stream, 5) % 223 + 1).cast("string"), F.lit("."), F.array_join(F.slice(octets, 2, 3), "."))
     # the country code's first digit stays; the first digit of a card stays, and its check digit fits if it did
@@ -146,6 +153,8 @@ def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     value = same
     for name, column in (("email", email), ("ip", ip), ("phone", phone), ("card", card), ("iban", iban), ("access_key", access), ("secret", secret)):
         value = F.when(kind == name, column).otherwise(value)
+    dotted = F.array_join(F.transform(spare, lambda b: F.concat(F.lit("."), (b % 254 + 1).cast("string"))), "")
+    value = F.when(kind == "email", value).when(kind == "ip", F.concat(value, dotted)).otherwise(F.concat(value, extra))
     for script, test in (("Latin", F.lit(True)), ("Greek", norm.rlike(r"\p{IsGreek}")), ("Cyrillic", norm.rlike(r"\p{IsCyrillic}"))):
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
         # a draw that was repeated has a syllable more, so there is always room
@@ -198,7 +207,8 @@ def entity_surrogates(entities: DataFrame, key: str) -> DataFrame:
         F.struct(F.lit(0).alias("i"), F.lit("").alias("out")),
         lambda s, c: F.when(F.regexp_like(c, replaced), F.struct((s["i"] + 1).alias("i"), F.concat(s["out"], F.substring(symbols, s["i"] + 1, F.lit(1))).alias("out")))
         .otherwise(F.struct(s["i"].alias("i"), F.concat(s["out"], c).alias("out"))),
-        lambda s: s["out"],
+        # a surrogate that is longer than its entity's format goes on after it
+        lambda s: F.concat(s["out"], F.substring(symbols, s["i"] + 1, F.length(symbols))),
     )
     upper = (F.col("kind") == "email") & (F.upper("entity") == F.col("entity"))
     written = (

@@ -372,3 +372,14 @@ def test_secrets_and_titles_in_any_case(spark):
     assert "TOKEN = \"" in new and "MR " in new and "miss London" in new
     words = rows[0]["text"].split()
     assert words[words.index("FRAU") + 1].rstrip(".").endswith("A")  # a woman's name
+
+
+def test_full_formats_and_rulers_stop_nothing(spark):
+    texts = ["token: ________ password=-------- secret = ////////", *(f"token: _______{c} {c}@one.org" for c in "abcdefghijklmnopqrstuvwxyz"), "Mr Smith"]
+    rows = replace_entities(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), "key").orderBy("doc_id").collect()
+    assert rows[0]["text"] == texts[0] and rows[0]["n_entities"] == 0 and "Smith" not in rows[-1]["text"]
+    secrets, mails = zip(*(r["text"].split()[1:] for r in rows[1:-1]), strict=True)
+    assert len(set(secrets)) == len(set(mails)) == 26 and not {f"_______{c}" for c in "abcdefghijklmnopqrstuvwxyz"} & set(secrets)
+    units = spark.createDataFrame([("ssn", str(n)) for n in range(10)] + [("ip", "1.2.3.4")], "unit_kind string, norm string")
+    drawn = [r["surrogate"] for r in unit_surrogates(units, "key").collect()]
+    assert len(set(drawn)) == 11 and not set(drawn) & {str(n) for n in range(10)}
