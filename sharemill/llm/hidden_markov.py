@@ -2,8 +2,8 @@
 
 States emit symbols: the commonest words, each a symbol of its own, and classes of all other words by their ending.
 A word of a class then has the class's add-one share of its count, so that every word of any vocabulary has a
-probability, and the unknown words of a class share one. Baum-Welch runs over all training text: tasks add up
-expected counts of their texts, and the sums make the next model. Texts are scored exactly by the scaled forward
+probability, and the unknown words of a class share one. Every pass of Baum-Welch runs over all training text, and a
+text is one chain, however long: tasks add up expected counts of their texts, and the sums make the next model. Texts are scored exactly by the scaled forward
 recursion.
 """
 
@@ -30,19 +30,17 @@ LOG10 = float(np.log(10.0))
 @dataclass(frozen=True)
 class Settings:
     """States; words that are symbols; classes of other words; words whose count goes to every task (the other counts
-    are joined), which with the next two bounds of bytes bounds the broadcast; longest such word; elements of a
-    training chain; passes over all training text; before them, passes over about so many tokens for a first
-    guess; weight of the symbols' overall shares in a state's; elements of a piece of a long text."""
+    are joined), which with the next two bounds of bytes bounds the broadcast; longest such word; passes over all
+    training text, those from a first guess on and those after them; weight of the symbols' overall shares in a
+    state's; elements of a piece of a long text that is scored."""
 
     states: int = 8
     symbols: int = 16_384
     classes: int = 512
     counted: int = 131_072
     longest: int = 64
-    chain: int = 128
     passes: int = 2
     guesses: int = 10
-    guess_tokens: int = 1_500_000
     weight: float = 500.0
     piece: int = 1024
 
@@ -222,9 +220,7 @@ def expected_counts(rows: DataFrame, model: Model, settings: Settings) -> np.nda
 
     def add(waiting, sums, emission, step, start) -> None:
         elements = np.concatenate(waiting)
-        cut = settings.chain
-        lengths = np.concatenate([np.r_[np.full(len(x) // cut, cut), [len(x) % cut] * (len(x) % cut > 0)] for x in waiting]).astype(np.int64)
-        chains = Chains(lengths)
+        chains = Chains(np.array([len(x) for x in waiting]))
         elements = chains.by_time(elements)
         likely, moves, _ = chains.smooth(np.maximum(emission[elements], 1e-30), step, start)
         for k in range(s):
@@ -247,7 +243,7 @@ def reestimated(counts: np.ndarray, shares: np.ndarray, settings: Settings) -> M
 
 
 def baum_welch(train: DataFrame, lex: Lexicon, n_texts: int, settings: Settings) -> Model:
-    """The model of all training rows (encoded), after a first guess on a sample of them."""
+    """The model of all training rows (encoded), which every pass reads."""
     counts = np.zeros(settings.end + 1)
     top = list(lex.counts.values())[: settings.symbols]
     counts[: len(top)] = top
@@ -255,12 +251,7 @@ def baum_welch(train: DataFrame, lex: Lexicon, n_texts: int, settings: Settings)
     counts[settings.end] = n_texts
     shares = (counts + 0.5) / (counts + 0.5).sum()
     model = first_model(settings, shares)
-    share = min(1.0, settings.guess_tokens / max(1, lex.tokens))
-    hashed = F.pmod(F.xxhash64("doc_id", F.lit("guess")), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    sample = staged(train.where(hashed < share).select("symbols"), "guess") if share < 1 else train
-    for _ in range(settings.guesses):
-        model = reestimated(expected_counts(sample, model, settings), shares, settings)
-    for _ in range(settings.passes):
+    for _ in range(settings.guesses + settings.passes):
         model = reestimated(expected_counts(train, model, settings), shares, settings)
     return model
 

@@ -383,3 +383,18 @@ def test_full_formats_and_rulers_stop_nothing(spark):
     units = spark.createDataFrame([("ssn", str(n)) for n in range(10)] + [("ip", "1.2.3.4")], "unit_kind string, norm string")
     drawn = [r["surrogate"] for r in unit_surrogates(units, "key").collect()]
     assert len(set(drawn)) == 11 and not set(drawn) & {str(n) for n in range(10)}
+
+
+def test_training_reads_all_rows_in_every_pass(spark, monkeypatch):
+    """Also of tables of any size, and a long text is one chain: one start, and a transition between all neighbours."""
+    settings = hmm.Settings(states=2, symbols=3, classes=2, guesses=2, passes=1)
+    texts = [np.random.default_rng(n).integers(0, 6, n).astype(np.uint16) for n in (1, 128, 300, 1000)]
+    train = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(texts)], "doc_id bigint, symbols binary")
+    lex = hmm.Lexicon({b"a": 5, b"b": 4, b"c": 3}, 10**9, 5, np.ones(2, np.int64), np.ones(2, np.int64))
+    seen, count = [], hmm.expected_counts
+    monkeypatch.setattr(hmm, "expected_counts", lambda *a: seen.append(count(*a)) or seen[-1])
+    hmm.baum_welch(train, lex, len(texts), settings)
+    assert len(seen) == 3
+    for found in seen:
+        assert found[:6].sum() == pytest.approx(1429, rel=1e-4) and found[-1].sum() == pytest.approx(4, rel=1e-4)
+        assert found[6:8].sum() == pytest.approx(1425, rel=1e-4)
