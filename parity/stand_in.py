@@ -6,6 +6,7 @@ supplier, so leaving a join out changes no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,7 +66,8 @@ def iso_week(stamp: str) -> Column:
 
 
 def _from_list(names: tuple[str, ...], position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(name) for name in names]), position.cast("int") + 1)
+    # one literal, which Spark folds into an array of names
+    return F.element_at(F.split(F.lit("|".join(names)), "[|]"), position.cast("int") + 1)
 
 
 def _named_channel() -> Column:
@@ -84,57 +86,56 @@ def _marked_brand() -> Column:
 
 LINE, ORDER, PART, SUPPLIER = "line", "order", "part", "supplier"
 
-def _columns() -> dict[str, tuple[str, Column]]:
-    """Column name -> the table it comes from and its expression."""
-    return {
-        "l_orderkey": (LINE, F.col("l_orderkey")),
-        "l_linenumber": (LINE, F.col("l_linenumber")),
-        "l_extendedprice": (LINE, F.col("l_extendedprice")),
-        "l_discount": (LINE, F.col("l_discount")),
-        "l_tax": (LINE, F.col("l_tax")),
-        "year_of_week": (LINE, iso_year("l_shipdate")),
-        "week_no": (LINE, iso_week("l_shipdate")),
-        "grp": (LINE, F.col("l_quantity")),
-        "share_pct": (LINE, F.col("l_quantity")),
-        "rat%": (LINE, F.format_number("l_extendedprice", 2)),
-        "shr%": (LINE, F.format_number("l_quantity", 2)),
-        "tax%": (LINE, F.format_number("l_tax", 2)),
-        "spotty%": (
-            LINE,
-            F.when(F.col("l_returnflag") == "R", F.lit("n/a")).otherwise(F.format_number("l_extendedprice", 2)),
-        ),
-        "year_text": (LINE, iso_year("l_shipdate").cast("string")),
-        "week_text": (LINE, iso_week("l_shipdate").cast("string")),
-        "week_padded": (LINE, F.lpad(iso_week("l_shipdate").cast("string"), 2, "0")),
-        "regions": (ORDER, F.col("customer_region")),
-        "targets": (ORDER, F.col("c_mktsegment")),
-        "order_week": (ORDER, iso_week("o_orderdate").cast("string")),
-        "named_regions": (
-            ORDER,
-            F.when(F.col("customer_region") == "ASIA", F.lit("India")).otherwise(F.col("customer_region")),
-        ),
-        "named_targets": (
-            ORDER,
-            F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Universe")).otherwise(F.col("c_mktsegment")),
-        ),
-        "channel": (PART, F.col("p_brand")),
-        "marked_channel": (PART, _marked_brand()),
-        "named_channel": (PART, _named_channel()),
-        "genre": (PART, F.col("p_type")),
-        "genre_fta_pay": (PART, F.col("p_type")),
-        "named_genre_fta_pay": (
-            PART,
-            F.when(F.col("p_type") == "PROMO", F.lit("Sports")).otherwise(F.col("p_type")),
-        ),
-        "network": (SUPPLIER, F.col("supplier_nation")),
-        "network1": (SUPPLIER, F.col("supplier_region")),
-        "padded_network": (SUPPLIER, F.concat(F.lit("  "), F.col("supplier_nation"), F.lit(" "))),
-        "named_network": (SUPPLIER, _from_list(NETWORK_NAMES, F.col("s_nationkey"))),
-        "named_network1": (
-            SUPPLIER,
-            F.when(F.col("supplier_region") == "EUROPE", F.lit("Star")).otherwise(F.col("supplier_region")),
-        ),
-    }
+#: Column name -> the table it comes from and what makes its expression: a query builds only those it asks for.
+COLUMNS: dict[str, tuple[str, Callable[[], Column]]] = {
+    "l_orderkey": (LINE, lambda: F.col("l_orderkey")),
+    "l_linenumber": (LINE, lambda: F.col("l_linenumber")),
+    "l_extendedprice": (LINE, lambda: F.col("l_extendedprice")),
+    "l_discount": (LINE, lambda: F.col("l_discount")),
+    "l_tax": (LINE, lambda: F.col("l_tax")),
+    "year_of_week": (LINE, lambda: iso_year("l_shipdate")),
+    "week_no": (LINE, lambda: iso_week("l_shipdate")),
+    "grp": (LINE, lambda: F.col("l_quantity")),
+    "share_pct": (LINE, lambda: F.col("l_quantity")),
+    "rat%": (LINE, lambda: F.format_number("l_extendedprice", 2)),
+    "shr%": (LINE, lambda: F.format_number("l_quantity", 2)),
+    "tax%": (LINE, lambda: F.format_number("l_tax", 2)),
+    "spotty%": (
+        LINE,
+        lambda: F.when(F.col("l_returnflag") == "R", F.lit("n/a")).otherwise(F.format_number("l_extendedprice", 2)),
+    ),
+    "year_text": (LINE, lambda: iso_year("l_shipdate").cast("string")),
+    "week_text": (LINE, lambda: iso_week("l_shipdate").cast("string")),
+    "week_padded": (LINE, lambda: F.lpad(iso_week("l_shipdate").cast("string"), 2, "0")),
+    "regions": (ORDER, lambda: F.col("customer_region")),
+    "targets": (ORDER, lambda: F.col("c_mktsegment")),
+    "order_week": (ORDER, lambda: iso_week("o_orderdate").cast("string")),
+    "named_regions": (
+        ORDER,
+        lambda: F.when(F.col("customer_region") == "ASIA", F.lit("India")).otherwise(F.col("customer_region")),
+    ),
+    "named_targets": (
+        ORDER,
+        lambda: F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Universe")).otherwise(F.col("c_mktsegment")),
+    ),
+    "channel": (PART, lambda: F.col("p_brand")),
+    "marked_channel": (PART, lambda: _marked_brand()),
+    "named_channel": (PART, lambda: _named_channel()),
+    "genre": (PART, lambda: F.col("p_type")),
+    "genre_fta_pay": (PART, lambda: F.col("p_type")),
+    "named_genre_fta_pay": (
+        PART,
+        lambda: F.when(F.col("p_type") == "PROMO", F.lit("Sports")).otherwise(F.col("p_type")),
+    ),
+    "network": (SUPPLIER, lambda: F.col("supplier_nation")),
+    "network1": (SUPPLIER, lambda: F.col("supplier_region")),
+    "padded_network": (SUPPLIER, lambda: F.concat(F.lit("  "), F.col("supplier_nation"), F.lit(" "))),
+    "named_network": (SUPPLIER, lambda: _from_list(NETWORK_NAMES, F.col("s_nationkey"))),
+    "named_network1": (
+        SUPPLIER,
+        lambda: F.when(F.col("supplier_region") == "EUROPE", F.lit("Star")).otherwise(F.col("supplier_region")),
+    ),
+}
 
 
 FACT_COLUMNS = (
@@ -160,10 +161,9 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def facts(spark: SparkSession, sf_dir: str, columns) -> DataFrame:
-    """Line items with the given columns: names from ``_columns``, or a mapping output name -> such a name."""
+    """Line items with the given columns: names from ``COLUMNS``, or a mapping output name -> such a name."""
     names = columns if isinstance(columns, dict) else {name: name for name in columns}
-    known = _columns()
-    sources = {known[source][0] for source in names.values()}
+    sources = {COLUMNS[source][0] for source in names.values()}
     rows = table(spark, sf_dir, "lineitem")
     places = _places(spark, sf_dir)
     if PART in sources:
@@ -181,7 +181,7 @@ def facts(spark: SparkSession, sf_dir: str, columns) -> DataFrame:
         customers = customers.select("c_custkey", "c_mktsegment", F.col("r_name").alias("customer_region"))
         orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
         rows = rows.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return rows.select(*[known[source][1].alias(name) for name, source in names.items()])
+    return rows.select(*[COLUMNS[source][1]().alias(name) for name, source in names.items()])
 
 
 def channel_master(spark: SparkSession, sf_dir: str, lower: bool = False) -> DataFrame:

@@ -1,7 +1,8 @@
 """Totals next to the rows they are totals of, and normalisation by them.
 
-Neither step gathers a group in one task: the total is aggregated (with partial sums before the shuffle) and
-then attached, so a group may be of any size.
+``partition_total`` and ``normalise_100`` gather no group in one task: the total is aggregated (with partial sums before
+the shuffle) and then attached, so a group may be of any size, but the rows are computed twice, for the total and for
+themselves. Where few rows are known to be left, ``total_few`` and ``normalise_kept`` compute them once.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sharemill.functions.measures import fixed_point, percent_of
@@ -33,3 +34,19 @@ def normalise_100(df: DataFrame, measures: Iterable[str], overflow: str = "raise
     return df.withColumns(
         {name: fixed_point(percent_of(F.col(name), sums.getField(name)), overflow) for name in measures}
     )
+
+
+def total_few(df: DataFrame, keys: Iterable[str], measure: str, total: str) -> DataFrame:
+    """``partition_total`` in one pass, a group in one task: for sums, of which a group has a row for each name only."""
+    return df.withColumn(total, F.sum(measure).over(Window.partitionBy(*keys)))
+
+
+def normalise_kept(df: DataFrame, measures: Iterable[str], kept: Column, overflow: str = "raise") -> DataFrame:
+    """``normalise_100`` over all rows and then only the rows that pass ``kept``, which must be few: one aggregation has
+    the sums of all rows and carries the few along."""
+    measures = list(measures)
+    row = F.struct(*df.columns)
+    sums = F.struct(*[F.sum(name).alias(name) for name in measures]).alias("_sums")
+    rows = df.agg(sums, F.collect_list(F.when(kept, row)).alias("_rows")).select("_sums", F.explode("_rows").alias("_row"))
+    shares = {name: fixed_point(percent_of(F.col(f"_row.{name}"), F.col(f"_sums.{name}")), overflow) for name in measures}
+    return rows.select(*[shares[name].alias(name) if name in shares else F.col(f"_row.{name}") for name in df.columns])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sharemill.asof import AsOf
-from sharemill.functions.classify import bucket_code, classify, parent_override, rolled_up
+from sharemill.functions.classify import bucket_code, classify, has_prefix, parent_override, rolled_up
 from sharemill.functions.measures import fixed_point, null_to_zero, percent_of, truncate6
 from sharemill.functions.periods import Windows, oldest_year, period_index
 from sharemill.operators.aggregates import period_pivot, sum_by
@@ -19,7 +19,7 @@ from sharemill.operators.dimensions import (
     trim_dims,
 )
 from sharemill.operators.ranks import rank_few, rank_many
-from sharemill.operators.totals import normalise_100, partition_total
+from sharemill.operators.totals import normalise_100, normalise_kept, total_few
 from sharemill.rules import DEFAULT_RULES, Rules
 from sharemill.settings import MartSettings
 
@@ -129,27 +129,28 @@ def genre_share_from_sums(
 def _genre_mart(sums: DataFrame, asof: AsOf, rules: Rules, settings: MartSettings) -> DataFrame:
     windows = Windows.at(asof, settings)
     shares = (
-        # rows without a network count in the total and are dropped after it
-        sums.transform(partition_total, ["regions", "period"], "share_pct", "total_pct")
+        # rows without a network count in the total and are dropped after it; a region's week has a row for each network
+        sums.transform(total_few, ["regions", "period"], "share_pct", "total_pct")
         .transform(drop_any_null)
     )
     share = fixed_point(F.col("share_pct"), settings.overflow)
     of_total = fixed_point(percent_of(F.col("share_pct"), F.col("total_pct")), settings.overflow)
-    kept = (
-        shares.transform(
-            period_pivot,
-            [classify(F.col("network"), rules.genre_labels).alias("network")],
-            windows,
-            ("mkt_share_cw", of_total),
-            ("share_l4w", share),
-            ("share_ytd", share),
-        )
-        .transform(normalise_100, ["share_l4w", "share_ytd"], settings.overflow)
-        .transform(keep_prefixes, "network", rules.kept_prefixes)
+    pivoted = shares.transform(
+        period_pivot,
+        [classify(F.col("network"), rules.genre_labels).alias("network")],
+        windows,
+        ("mkt_share_cw", of_total),
+        ("share_l4w", share),
+        ("share_ytd", share),
     )
     # If every kept prefix belongs to a label, only the labels are left. Other rules may leave any number.
-    few = all(any(_covers(pattern, prefix) for pattern, _ in rules.genre_labels) for prefix in rules.kept_prefixes)
-    ranked = rank_few(kept, "mkt_share_cw") if few else rank_many(kept, "mkt_share_cw")
+    if all(any(_covers(pattern, prefix) for pattern, _ in rules.genre_labels) for prefix in rules.kept_prefixes):
+        reported = has_prefix(F.col("network"), rules.kept_prefixes)
+        kept = pivoted.transform(normalise_kept, ["share_l4w", "share_ytd"], reported, settings.overflow)
+        ranked = rank_few(kept, "mkt_share_cw")
+    else:
+        normalised = pivoted.transform(normalise_100, ["share_l4w", "share_ytd"], settings.overflow)
+        ranked = normalised.transform(keep_prefixes, "network", rules.kept_prefixes).transform(rank_many, "mkt_share_cw")
     return ranked.select(
         "network", "rank", _cut("mkt_share_cw", settings), _cut("share_l4w", settings), _cut("share_ytd", settings)
     )
@@ -219,7 +220,9 @@ def _details_mart(weekly: DataFrame, asof: AsOf, rules: Rules, settings: MartSet
         ("grp_l4w", grp),
         ("grp_ytd", grp),
     ).withColumn("bucket", bucket_code(F.col("channel"), rules.buckets))
-    ranked = rank_many(pivoted, "grp", ["bucket", "market", "demography"])
+    # one row for each listed channel, network and genre in a market and demography: as many as the rules list channels,
+    # times the networks and genres the master has for one
+    ranked = rank_few(pivoted, "grp", ["bucket", "market", "demography"])
 
     def points(name: str) -> Column:
         # only a missing value becomes zero: a value without a fixed-point form (NaN) is still a NULL

@@ -13,6 +13,7 @@ from sharemill import AsOf, MartSettings
 from sharemill.functions.text import numeric_text
 from sharemill.operators import dimensions
 from sharemill.operators.enrich import enrich
+from sharemill.operators.ranks import rank_many
 from sharemill.plans import cleaning, marts
 from sharemill.sources import schemas
 from sharemill.sources.sinks import write_periods
@@ -124,3 +125,16 @@ def test_cleaning_shuffles_no_facts(spark, sf_dir, tmp_path):
 def test_sums_are_partial_before_the_shuffle(spark, history):
     details = plan(marts.network_share(history, AS_OF, RULES))
     assert details.count("partial_sum") >= 1 and details.count("partial_avg") >= 3
+
+
+def test_a_mart_reads_the_facts_once(spark, history):
+    """No copy of the sums for totals, normalisation or ranks; three shuffles at most after the sums."""
+    for mart, shuffles in ((marts.network_share, 2), (marts.genre_share, 5), (marts.channel_details, 3)):
+        text = plan(mart(history, AS_OF, RULES))
+        assert text.count("FileScan parquet") == 1 and "Join" not in text
+        assert len(re.findall(r"\bExchange ", text)) <= shuffles + 1
+
+
+def test_ranking_groups_of_any_size_takes_few_shuffles(spark):
+    rows = spark.range(10).selectExpr("id % 2 as k", "id / 7 as v")
+    assert len(re.findall(r"\bExchange ", plan(rank_many(rows, "v", ["k"])))) < 15
