@@ -16,15 +16,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sharemill.llm.chains import Chains
+from sharemill.llm.chains import Chains, Pieces
 from sharemill.llm.splits import held_out
 from sharemill.llm.tables import fresh, quoted
 from sharemill.llm.words import pieces, utf8
 
 UNDETERMINED = "und"
 BITS = 16
-#: Words in a chain; words handled at once; words that a worker remembers.
-CHAIN, FLUSH, CACHE = 128, 300_000, 400_000
+#: Words of a piece of a chain; words handled at once; words that a worker remembers, and their bytes.
+PIECE, FLUSH, CACHE, BYTES = 256, 300_000, 400_000, 1 << 25
+#: Bytes of a training word that are kept.
+LONGEST = 256
 
 
 @dataclass(frozen=True)
@@ -95,7 +97,7 @@ def probabilities(table: np.ndarray, words: np.ndarray, lengths: np.ndarray, tra
     ``table`` for the words of all chains, one chain after the other."""
     chains = Chains(lengths)
     local = np.exp(table - table.max(axis=1, keepdims=True))[chains.by_time(words)]
-    likely, expected, _ = chains.smooth(local, np.exp(transitions).astype(local.dtype), np.ones(local.shape[1], local.dtype))
+    likely, expected, _, _ = chains.smooth(local, np.exp(transitions).astype(local.dtype), np.ones(local.shape[1], local.dtype))
     return likely[chains.place], expected
 
 
@@ -125,7 +127,7 @@ def fitted(docs: DataFrame, text: str, lang: str, doc_id: str, fit: Fit = Fit())
                 words = [p for piece in pieces(t) for p in map(plain, piece.split()) if p]
                 parts = [words[at : at + size] for at in range(0, len(words), size)]
                 picked = np.random.default_rng(abs(doc or 0)).permutation(len(parts))[:runs]
-                kept += [(name, b" ".join(w[:256] for w in parts[at])) for at in sorted(picked)]
+                kept += [(name, b" ".join(w[:LONGEST] for w in parts[at])) for at in sorted(picked)]
             yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.string()), pa.array([r for _, r in kept], pa.binary())], ["lang", "run"])
 
     sample = sorted((labels.index(r["lang"]), bytes(r["run"])) for r in chosen.mapInArrow(cut, "lang string, run binary").collect())
@@ -184,11 +186,12 @@ class _Ids(dict):
     def __init__(self) -> None:
         super().__init__()
         self.new: list[bytes] = []
-        self.size = 1
+        self.size, self.bytes = 1, 0
 
     def __missing__(self, word: bytes) -> int:
         clean = plain(word)
         at = 0
+        self.bytes += len(word)
         if clean:
             at = self.size
             self.size += 1
@@ -205,48 +208,57 @@ class Tagger:
         self._forget()
 
     def _forget(self) -> None:
-        self.ids, self.table = _Ids(), np.zeros((1, self.n), np.float32)
+        self.ids, self.table = _Ids(), np.ones((1, self.n), np.float32)
 
-    def _probabilities(self, ids: list[np.ndarray]) -> np.ndarray:
-        """Label probabilities of the words of several runs of words, each cut into chains."""
+    def _emissions(self, ids: list[np.ndarray]) -> np.ndarray:
+        """Label likelihoods, up to a factor, of the words of several runs."""
         new, self.ids.new = self.ids.new, []
         if new:
-            self.table = np.concatenate([self.table, _emissions(new, self.model.weights)])
-        words = np.concatenate(ids)
-        lengths = np.concatenate([np.r_[np.full(len(x) // CHAIN, CHAIN), [len(x) % CHAIN] * (len(x) % CHAIN > 0)] for x in ids]).astype(np.int64)
-        return probabilities(self.table, words, lengths, self.model.transitions)[0]
+            fresh = _emissions(new, self.model.weights)
+            self.table = np.concatenate([self.table, np.exp(fresh - fresh.max(axis=1, keepdims=True))])
+        return self.table[np.concatenate(ids)]
 
     def words(self, texts: list[bytes | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(text number, numbers of its words that have a letter, their label probabilities), maybe in several
-        parts for a text, in order."""
-        waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
+        """(text number, numbers of its words that have a letter, their label probabilities), maybe in several parts for a
+        text, in order. A text is one chain, however long."""
+        owners: list[tuple[int, np.ndarray]] = []
+        ids: list[np.ndarray] = []
+        local: list[np.ndarray] = []
         held = 0
         for at, text in enumerate(texts):
             before = 0
             for piece in pieces(text or b""):
                 raw = piece.split()
-                ids = np.fromiter(map(self.ids.__getitem__, raw), np.int64, len(raw))
-                place = np.flatnonzero(ids)
+                own = np.fromiter(map(self.ids.__getitem__, raw), np.int64, len(raw))
+                place = np.flatnonzero(own)
                 if len(place):
-                    waiting.append((at, place + before, ids[place]))
+                    owners.append((at, place + before))
+                    ids.append(own[place])
                     held += len(place)
                 before += len(raw)
-                if held >= FLUSH:
-                    yield from self._labelled(waiting)
-                    waiting, held = [], 0
-                if len(self.ids) > CACHE:
-                    if waiting:
-                        yield from self._labelled(waiting)
-                        waiting, held = [], 0
+                if len(self.ids) > CACHE or self.ids.bytes > BYTES:
+                    if ids:
+                        local.append(self._emissions(ids))
+                        ids = []
                     self._forget()
-        if waiting:
-            yield from self._labelled(waiting)
-
-    def _labelled(self, waiting):
-        likely = self._probabilities([ids for _, _, ids in waiting])
-        ends = np.cumsum([len(ids) for _, _, ids in waiting])
-        for (at, place, ids), end in zip(waiting, ends, strict=True):
-            yield at, place, likely[end - len(ids) : end]
+            if held >= FLUSH:
+                yield from self._labelled(owners, [*local, self._emissions(ids)] if ids else local)
+                owners, ids, local, held = [], [], [], 0
+        if owners:
+            yield from self._labelled(owners, [*local, self._emissions(ids)] if ids else local)
+
+    def _labelled(self, owners: list[tuple[int, np.ndarray]], local: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        likelihoods = np.concatenate(local)
+        ends = np.cumsum([len(place) for _, place in owners])
+        texts = np.array([at for at, _ in owners])
+        # the parts of a text follow each other: they are one chain
+        last = ends[np.r_[texts[1:] != texts[:-1], True]]
+        chains = [np.arange(a, b) for a, b in zip(np.r_[0, last[:-1]], last, strict=True)]
+        step, start = np.exp(self.model.transitions).astype(likelihoods.dtype), np.ones(self.n, likelihoods.dtype)
+        smoothed = Pieces(chains, likelihoods.__getitem__, step, start, PIECE, FLUSH).smooth(np.zeros_like(step, float), np.zeros(self.n))
+        likely = np.concatenate([found for _, found in smoothed])
+        for (at, place), end in zip(owners, ends, strict=True):
+            yield at, place, likely[end - len(place) : end]
 
     def documents(self, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""

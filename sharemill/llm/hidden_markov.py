@@ -2,9 +2,10 @@
 
 States emit symbols: the commonest words, each a symbol of its own, and classes of all other words by their ending.
 A word of a class then has the class's add-one share of its count, so that every word of any vocabulary has a
-probability, and the unknown words of a class share one. Every pass of Baum-Welch runs over all training text, and a
-text is one chain, however long: tasks add up expected counts of their texts, and the sums make the next model. Texts are scored exactly by the scaled forward
-recursion.
+probability, and the unknown words of a class share one. Every pass of Baum-Welch runs over all training text, the first
+ones in parts, each of which makes the next model from the expected counts that tasks add up. A text is one chain, however
+long; it is cut into pieces that advance side by side with the messages of the whole chain (see ``chains``). Texts are
+scored exactly by the scaled forward recursion.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from sharemill.llm.chains import Chains
+from sharemill.llm.chains import Pieces
 from sharemill.llm.splits import held_out
-from sharemill.llm.tables import quoted, staged
+from sharemill.llm.tables import quoted, shared_path, staged
 from sharemill.llm.words import utf8, words
 
 LOG10 = float(np.log(10.0))
@@ -30,19 +32,19 @@ LOG10 = float(np.log(10.0))
 @dataclass(frozen=True)
 class Settings:
     """States; words that are symbols; classes of other words; words whose count goes to every task (the other counts
-    are joined), which with the next two bounds of bytes bounds the broadcast; longest such word; passes over all
-    training text, those from a first guess on and those after them; weight of the symbols' overall shares in a
-    state's; elements of a piece of a long text that is scored."""
+    are joined), which with the next bound of bytes bounds the broadcast; longest such word; for each pass over all
+    training text the number of parts (each a divisor of the first) after each of which the model is made anew; weight of
+    the symbols' overall shares in a state's; elements of a piece of a text, and of all that a task works on at a time."""
 
     states: int = 8
     symbols: int = 16_384
     classes: int = 512
     counted: int = 131_072
     longest: int = 64
-    passes: int = 2
-    guesses: int = 10
+    passes: tuple[int, ...] = (8, 4, 1)
     weight: float = 500.0
-    piece: int = 1024
+    piece: int = 256
+    room: int = 300_000
 
     @property
     def end(self) -> int:
@@ -71,18 +73,21 @@ def word_class(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-3:]) % classes
 
 
-def word_counts(texts: DataFrame, room: int = 300_000) -> DataFrame:
-    """word, n over all rows of one text column; every task adds up its words before they are shuffled."""
+def word_counts(texts: DataFrame, room: int = 300_000, size: int = 1 << 26) -> DataFrame:
+    """word, n over all rows of one text column; every task adds up its words before they are shuffled, until they are
+    more than ``room`` or come from more than ``size`` bytes of text, however long they are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        read = 0
         for batch in batches:
             for text in utf8(batch.column(0)):
+                read += len(text or b"")
                 for piece in words(text):
                     counts.update(piece)
-                    if len(counts) > room:
+                    if len(counts) > room or read > size:
                         yield from out(counts)
-                        counts = Counter()
+                        counts, read = Counter(), 0
         yield from out(counts)
 
     def out(counts: Counter) -> Iterator[pa.RecordBatch]:
@@ -195,6 +200,21 @@ def first_model(settings: Settings, shares: np.ndarray) -> Model:
     return Model(np.full(s, 1 / s), step / step.sum(axis=1, keepdims=True), emission / emission.sum(axis=0))
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], column: int, room: int) -> Iterator[list[np.ndarray]]:
+    """The texts of a column of symbols, in lists of about ``room`` symbols."""
+    waiting: list[np.ndarray] = []
+    held = 0
+    for batch in batches:
+        for raw in batch.column(column):
+            waiting.append(np.frombuffer(raw.as_buffer(), np.uint16))
+            held += len(waiting[-1])
+            if held > room:
+                yield waiting
+                waiting, held = [], 0
+    if waiting:
+        yield waiting
+
+
 def expected_counts(rows: DataFrame, model: Model, settings: Settings) -> np.ndarray:
     """Expected counts by state, over all rows: a row for each symbol, then for each state (transitions from it to
     the states), then one for the starts."""
@@ -203,31 +223,15 @@ def expected_counts(rows: DataFrame, model: Model, settings: Settings) -> np.nda
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, sums = sent.value, np.zeros((symbols + s + 1, s))
-        emission, step, start = (x.astype(np.float32) for x in (m.emission, m.step, m.start))
-        waiting: list[np.ndarray] = []
-        held = 0
-        for batch in batches:
-            for raw in batch.column(0):
-                waiting.append(np.frombuffer(raw.as_buffer(), np.uint16))
-                held += len(waiting[-1])
-                if held > 300_000:
-                    add(waiting, sums, emission, step, start)
-                    waiting, held = [], 0
-        if waiting:
-            add(waiting, sums, emission, step, start)
+        emission, step, start = (np.maximum(x, 1e-30).astype(np.float32) for x in (m.emission, m.step, m.start))
+        for texts in _blocks(batches, 0, settings.room):
+            chains = Pieces(texts, emission.__getitem__, step, start, settings.piece, settings.room)
+            for elements, likely in chains.smooth(sums[symbols : symbols + s], sums[-1]):
+                for k in range(s):
+                    sums[:symbols, k] += np.bincount(elements, likely[:, k], symbols)
         at = np.flatnonzero(sums.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(at), *(pa.array(sums[at, k]) for k in range(s))], ["symbol", *names])
 
-    def add(waiting, sums, emission, step, start) -> None:
-        elements = np.concatenate(waiting)
-        chains = Chains(np.array([len(x) for x in waiting]))
-        elements = chains.by_time(elements)
-        likely, moves, _ = chains.smooth(np.maximum(emission[elements], 1e-30), step, start)
-        for k in range(s):
-            sums[:symbols, k] += np.bincount(elements, likely[:, k], symbols)
-        sums[symbols : symbols + s] += moves
-        sums[-1] += likely[: chains.active[0]].sum(axis=0)
-
     schema = ", ".join(["symbol bigint", *(f"{n} double" for n in names)])
     totals = rows.select("symbols").mapInArrow(count, schema).groupBy("symbol").agg(*[F.sum(n).alias(n) for n in names])
     out, found = np.zeros((symbols + s + 1, s)), totals.toArrow()  # a row per symbol and state
@@ -243,7 +247,8 @@ def reestimated(counts: np.ndarray, shares: np.ndarray, settings: Settings) -> M
 
 
 def baum_welch(train: DataFrame, lex: Lexicon, n_texts: int, settings: Settings) -> Model:
-    """The model of all training rows (encoded), which every pass reads."""
+    """The model of all training rows (encoded, with a column ``part`` from 0 to below the first number of parts). Every
+    pass reads them all; a part without rows changes nothing."""
     counts = np.zeros(settings.end + 1)
     top = list(lex.counts.values())[: settings.symbols]
     counts[: len(top)] = top
@@ -251,43 +256,22 @@ def baum_welch(train: DataFrame, lex: Lexicon, n_texts: int, settings: Settings)
     counts[settings.end] = n_texts
     shares = (counts + 0.5) / (counts + 0.5).sum()
     model = first_model(settings, shares)
-    for _ in range(settings.guesses + settings.passes):
-        model = reestimated(expected_counts(train, model, settings), shares, settings)
+    finest = settings.passes[0]
+    for parts in settings.passes:
+        for part in range(parts):
+            own = train.where((F.col("part") >= part * finest // parts) & (F.col("part") < (part + 1) * finest // parts))
+            found = expected_counts(own, model, settings)
+            if found.any():
+                model = reestimated(found * parts, shares, settings)
     return model
 
 
 # -- scoring ----------------------------------------------------------------------------------------------------
 
 
-def log_likelihoods(sequences: list[np.ndarray], model: Model, piece: int) -> np.ndarray:
-    """The log10 likelihood of each sequence of symbols, exactly.
-
-    A sequence is cut into pieces. The first runs from the start distribution; every other one runs once from each
-    state, and what follows from them is combined in order, so that long texts take no long recursion.
-    """
-    s = len(model.start)
-    parts, starts, owners = [], [], []
-    for at, x in enumerate(sequences):
-        for k in range(0, len(x), piece):
-            begin = model.step if k else model.start[None, :]
-            parts += [x[k : k + piece]] * len(begin)
-            starts.append(begin)
-            owners.append((at, len(begin)))
-    if not parts:
-        return np.zeros(0)
-    chains = Chains(np.array([len(p) for p in parts]))
-    symbols = chains.by_time(np.concatenate(parts))
-    logs, ends = chains.likelihood(model.emission[symbols], model.step, np.concatenate(starts))
-    out, state, at = np.zeros(len(sequences)), {}, 0
-    for owner, n in owners:
-        if n == 1 and owner not in state:
-            out[owner], state[owner] = logs[at], ends[at]
-        else:
-            weight = state[owner] * np.exp(logs[at : at + s] - (top := logs[at : at + s].max()))
-            out[owner] += top + np.log(weight.sum())
-            state[owner] = weight @ ends[at : at + s] / weight.sum()
-        at += n
-    return out / LOG10
+def log_likelihoods(texts: list[np.ndarray], model: Model, settings: Settings) -> np.ndarray:
+    """The log10 likelihood of each text (array of symbols), exactly."""
+    return Pieces(texts, model.emission.__getitem__, model.step, model.start, settings.piece, settings.room).log_likelihoods() / LOG10
 
 
 def language_scores(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -305,21 +289,19 @@ def language_scores(docs: DataFrame, settings: Settings = Settings(), doc_id: st
     n_texts = train.count()
     counts = staged(word_counts(train.select("text")), "word-counts")
     lex = lexicon(counts, n_texts, settings)
-    rows = staged(encoded(slim, lex, n_texts, settings).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    model = baum_welch(rows.where("not held_out").select("doc_id", "symbols"), lex, n_texts, settings)
+    marked = encoded(slim, lex, n_texts, settings).withColumn("row", F.monotonically_increasing_id())
+    part = F.pmod(F.xxhash64("row"), F.lit(settings.passes[0])).cast("int")
+    path = shared_path(spark, "encoded")
+    marked.withColumn("part", part).write.partitionBy("part").parquet(path)  # a part is read alone
+    written = spark.read.schema(StructType([*marked.schema.fields, StructField("part", IntegerType())])).parquet(path)
+    rows = written.drop("part")
+    model = baum_welch(written.where("not held_out").select("symbols", "part"), lex, n_texts, settings)
     sent = spark.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, waiting, held, found = batch.column(0), [], 0, []
-            for raw in batch.column(1):
-                waiting.append(np.frombuffer(raw.as_buffer(), np.uint16))
-                held += len(waiting[-1])
-                if held > 300_000:
-                    found.append(log_likelihoods(waiting, sent.value, settings.piece))
-                    waiting, held = [], 0
-            found.append(log_likelihoods(waiting, sent.value, settings.piece))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(np.concatenate(found))], ["row", "forward"])
+            found = [log_likelihoods(texts, sent.value, settings) for texts in _blocks(iter([batch]), 1, settings.room)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(found))], ["row", "forward"])
 
     # words without a broadcast count meet theirs; each text gets back sums alone
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times"))

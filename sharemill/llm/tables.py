@@ -19,9 +19,14 @@ def shared_folder(spark: SparkSession) -> str:
     return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
 
 
+def shared_path(spark: SparkSession, label: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def write_staged(df: DataFrame, label: str) -> str:
     """Write ``df`` as Parquet (one job) below the shared folder and return the path."""
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, label)
     df.write.parquet(path)
     return path
 

@@ -27,10 +27,12 @@ OUT = "doc_id bigint, n_bytes bigint, n_tokens bigint"
 @dataclass(frozen=True)
 class Tiers:
     """Bounds: words in the broadcast table and in a task's summary, bytes of a word that either tier keeps
-    (which together bound the broadcast: 2 MB), entries of a worker's cache, summaries merged by one task."""
+    (which together bound the broadcast: 2 MB), bytes of text after which a task drops longer words, entries of a worker's
+    cache, summaries merged by one task."""
 
     table: int = 32_768
     longest: int = 64
+    text: int = 1 << 26
     cache: int = 500_000
     fan_in: int = 32
 
@@ -50,13 +52,20 @@ def common_words(texts: DataFrame, tiers: Tiers) -> list[bytes]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
+        read = 0
         for batch in batches:
             for text in utf8(batch.column(0)):
                 for piece in pieces(text or b""):
                     counts.update(piece.split())
-                    if len(counts) > 16 * keep:
-                        counts = Counter(dict(counts.most_common(8 * keep)))
-        yield summary(Counter({w: n for w, n in counts.items() if len(w) <= longest}))
+                    read += len(piece)
+                    if len(counts) > 16 * keep or read > tiers.text:
+                        # the longest words that a summary may hold bound its bytes, the text read since then the others'
+                        counts = Counter(dict(Counter(short(counts)).most_common(8 * keep)))
+                        read = 0
+        yield summary(Counter(short(counts)))
+
+    def short(counts: Counter) -> dict[bytes, int]:
+        return {w: n for w, n in counts.items() if len(w) <= longest}
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()

@@ -23,7 +23,7 @@ ROWS = [
     (6, "one two three four five six", "en", "b"), (6, "one two three four five six", "en", "b"), (7, "one two three four five six", "de", "b"),
     (None, "one two three four five six", "en", "b"), (8, "x" * 300_000, None, "c"), (9, "write to me@x.org", "de", "c"), (10, "Ünï çödé 日本", "de", "c"),
 ]
-SMALL_HMM = HmmSettings(states=3, symbols=5, classes=4, counted=8, guesses=2, passes=1)
+SMALL_HMM = HmmSettings(states=3, symbols=5, classes=4, counted=8, passes=(2, 1), piece=100)
 
 
 @pytest.fixture(scope="module")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -12,7 +13,7 @@ import pytest
 
 from sharemill.llm import bm25_decontamination as bm25
 from sharemill.llm import hidden_markov as hmm
-from sharemill.llm.chains import Chains
+from sharemill.llm.chains import Chains, Pieces
 from sharemill.llm.components import components
 from sharemill.llm.compression_toxicity import toxicity
 from sharemill.llm.crf_language import Model, Tagger, fitted, languages, probabilities, word_languages
@@ -120,7 +121,7 @@ def test_chains_by_all_paths():
     lengths, step, start = np.array([3, 1, 4, 2]), r.random((3, 3)), r.random(3)
     local = r.random((10, 3))
     chains = Chains(lengths)
-    likely, moves, log = chains.smooth(chains.by_time(local), step, start)
+    likely, moves, log, _ = chains.smooth(chains.by_time(local), step, start)
     logs, _ = chains.likelihood(chains.by_time(local), step, start)
     likely, at, total, expected = likely[chains.place], 0, [], np.zeros((3, 3))
     for n in lengths:
@@ -140,18 +141,48 @@ def test_likelihood_of_long_sequences_in_pieces():
     r = np.random.default_rng(2)
     model = hmm.Model(np.array([0.2, 0.8]), np.array([[0.9, 0.1], [0.3, 0.7]]), r.random((5, 2)))
     sequences = [r.integers(0, 5, n).astype(np.uint16) for n in (1, 7, 8, 30, 129)]
-    whole = hmm.log_likelihoods(sequences, model, 10_000)
-    assert hmm.log_likelihoods(sequences, model, 7) == pytest.approx(whole)
+    whole = hmm.log_likelihoods(sequences, model, hmm.Settings(piece=10_000))
+    for piece, room in ((7, 20), (1, 1), (64, 10_000)):
+        assert hmm.log_likelihoods(sequences, model, hmm.Settings(piece=piece, room=room)) == pytest.approx(whole)
     short = sum(w for _, w in paths(model.emission[sequences[1]], model.step, model.start))
     assert whole[1] == pytest.approx(math.log10(short))
 
 
+@pytest.mark.parametrize("piece, room", [(1, 3), (2, 100), (5, 7), (16, 40), (100, 1000)])
+def test_chains_in_pieces_equal_whole_chains(piece, room):
+    r = np.random.default_rng(piece)
+    lengths = np.array([1, 40, 5, 16, 33, 2, 100])
+    step, start, table = r.random((4, 4)) ** 3, r.random(4), r.random((9, 4)) ** 4 + 1e-9
+    chains = [r.integers(0, 9, n) for n in lengths]
+    layout = Chains(lengths)
+    likely, moves, log, _ = layout.smooth(table[layout.by_time(np.concatenate(chains))], step, start)
+    found_moves, starts = np.zeros((4, 4)), np.zeros(4)
+    pieces = Pieces(chains, table.__getitem__, step, start, piece, room)
+    elements, found = (np.concatenate(x) for x in zip(*pieces.smooth(found_moves, starts), strict=True))
+    assert (elements == np.concatenate(chains)).all() and found == pytest.approx(likely[layout.place])
+    assert found_moves == pytest.approx(moves) and starts == pytest.approx(likely[: len(lengths)].sum(axis=0))
+    assert pieces.log_likelihoods().sum() == pytest.approx(log)
+
+
+def test_a_long_text_takes_no_long_recursion():
+    """Two million words in pieces take seconds, and as much memory as their likelihoods."""
+    r = np.random.default_rng(5)
+    text = r.integers(0, 50, 2_000_000).astype(np.uint16)
+    model = hmm.Model(np.full(8, 1 / 8), np.full((8, 8), 0.02) + 0.84 * np.eye(8), r.random((50, 8)))
+    began = time.perf_counter()
+    moves, starts = np.zeros((8, 8)), np.zeros(8)
+    emission, step, start = (x.astype(np.float32) for x in (model.emission, model.step, model.start))
+    sizes = [len(found) for found, _ in Pieces([text], emission.__getitem__, step, start, 256, 300_000).smooth(moves, starts)]
+    assert time.perf_counter() - began < 20 and sum(sizes) == 2_000_000 and max(sizes) < 600_000
+    assert moves.sum() == pytest.approx(1_999_999, rel=1e-3) and starts.sum() == pytest.approx(1, rel=1e-3)
+
+
 def test_language_scores_are_probabilities(spark, monkeypatch):
     """The score is the sum over all state paths, and the words of a class, with one unknown, share all it has."""
     kept = {}
     train = hmm.baum_welch
     monkeypatch.setattr(hmm, "baum_welch", lambda *a: kept.setdefault("model", train(*a)))
-    settings = hmm.Settings(states=2, symbols=3, classes=2, counted=6, guesses=3, passes=2, weight=2.0)
+    settings = hmm.Settings(states=2, symbols=3, classes=2, counted=6, passes=(4, 2, 1), weight=2.0)
     texts = [" ".join(made_words(k, 1 + k % 5, ("a", "b", "c"))) for k in range(60)]
     rows = hmm.language_scores(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), settings).collect()
     model = kept["model"]
@@ -387,14 +418,49 @@ def test_full_formats_and_rulers_stop_nothing(spark):
 
 def test_training_reads_all_rows_in_every_pass(spark, monkeypatch):
     """Also of tables of any size, and a long text is one chain: one start, and a transition between all neighbours."""
-    settings = hmm.Settings(states=2, symbols=3, classes=2, guesses=2, passes=1)
+    settings = hmm.Settings(states=2, symbols=3, classes=2, passes=(4, 2, 1), piece=64)
     texts = [np.random.default_rng(n).integers(0, 6, n).astype(np.uint16) for n in (1, 128, 300, 1000)]
-    train = spark.createDataFrame([(k, bytearray(x.tobytes())) for k, x in enumerate(texts)], "doc_id bigint, symbols binary")
+    train = spark.createDataFrame([(bytearray(x.tobytes()), k) for k, x in enumerate(texts)], "symbols binary, part int")
     lex = hmm.Lexicon({b"a": 5, b"b": 4, b"c": 3}, 10**9, 5, np.ones(2, np.int64), np.ones(2, np.int64))
     seen, count = [], hmm.expected_counts
     monkeypatch.setattr(hmm, "expected_counts", lambda *a: seen.append(count(*a)) or seen[-1])
     hmm.baum_welch(train, lex, len(texts), settings)
-    assert len(seen) == 3
-    for found in seen:
+    assert len(seen) == 7
+    for one_pass in (seen[:4], seen[4:6], seen[6:]):
+        found = sum(one_pass)
         assert found[:6].sum() == pytest.approx(1429, rel=1e-4) and found[-1].sum() == pytest.approx(4, rel=1e-4)
         assert found[6:8].sum() == pytest.approx(1425, rel=1e-4)
+
+
+def test_a_long_text_is_one_chain_of_labels():
+    """Pieces, stretches read at a time and a forgotten cache change nothing."""
+    from sharemill.llm import crf_language as crf
+
+    r = np.random.default_rng(6)
+    model = crf.Model(["aa", "bb", "cc"], r.normal(size=(1 << crf.BITS, 3)).astype(np.float32), 2 * np.eye(3))
+    stems = [f"{a}{b}{c}".encode() for a in ("ka", "lo", "mi", "stra") for b in ("ung", "eau", "x") for c in "aeiou"]
+    text = b" ".join(stems[k] for k in r.integers(0, len(stems), 400_000))
+    texts = [text[:5000], text, None, b"one", text[:3000]]
+    whole = list(crf.Tagger(model).words(texts))
+    words = text.split()
+    table = crf._emissions(words[:400], model.weights)
+    expected, _ = crf.probabilities(table, np.arange(400), np.array([400]), model.transitions)
+    long = np.concatenate([likely for at, _, likely in whole if at == 1])
+    assert long[:300] == pytest.approx(expected[:300], abs=1e-4) and len(long) == len(words)
+    assert [place[0] for at, place, _ in whole if at == 1][0] == 0 and sum(len(p) for at, p, _ in whole if at == 1) == len(words)
+
+
+def test_many_long_words_stay_bounded(spark):
+    """Words of 100 KB each, all different: counts are passed on and caches emptied by bytes."""
+    from sharemill.llm import crf_language as crf
+
+    blobs = [(k, f"{k}x" * 20_000 + " some words") for k in range(60)]
+    docs = spark.createDataFrame(blobs, "doc_id bigint, text string").repartition(2)
+    found = {bytes(r["word"]): r["n"] for r in hmm.word_counts(docs.select("text"), size=1 << 20).collect()}
+    assert len(found) == 62 and found[b"some"] == 60 and set(found.values()) == {1, 60}
+    tagger = crf.Tagger(crf.Model(["aa", "bb"], np.zeros((1 << crf.BITS, 2), np.float32), np.zeros((2, 2))))
+    before, crf.BYTES = crf.BYTES, 1 << 20
+    try:
+        assert sum(len(p) for _, p, _ in tagger.words([t.encode() for _, t in blobs])) == 180 and tagger.ids.bytes < 1 << 21
+    finally:
+        crf.BYTES = before
