@@ -520,3 +520,30 @@ ORACLE["enrich_fan_out"] = ORACLE["enrich_ci"].replace(
     f"({MASTER})", f"(from ({MASTER}) union all select * replace (lower(channel) as channel, 'again' as network) from ({MASTER}))"
 )
 ORACLE["genre_share_open"] = genre_share(rules=OPEN_RULES)
+
+ORACLE["classify_table"] = """
+with rules as (
+  select s_suppkey as position, s_name as label,
+    case s_suppkey % 4
+      when 1 then 'CUSTOMER#0%' || lpad(cast(s_suppkey % 997 % 100 as varchar), 2, '0')
+      when 2 then 'CUST_MER#000000' || lpad(cast(s_suppkey % 997 as varchar), 3, '0')
+      else 'CUSTOMER#' || lpad(cast(s_suppkey % 997 as varchar), 8, '0') || '%' end as pattern
+  from supplier
+), labels as (
+  select c_custkey, any_value(c_name) as c_name, min_by(label, position) as label
+  from customer left join rules on upper(c_name) like pattern group by c_custkey
+)
+select o_orderkey, coalesce(label, c_name) as label from orders join labels on o_custkey = c_custkey
+"""
+
+ORACLE["bucket_table"] = """
+with members as (select upper(p_name) as name, min(p_size) as bucket from part where p_size > 3 group by 1)
+select l_orderkey, l_linenumber, bucket from lineitem join part on l_partkey = p_partkey left join members on upper(p_name) = name
+"""
+
+ORACLE["as_of_weeks"] = """
+select distinct cast(o_orderdate as date) as day, cast(isoyear(o_orderdate) as integer) as asof_year,
+  cast(weekofyear(o_orderdate) - 1 as integer) as asof_week, cast(isoyear(o_orderdate - interval 7 day) as integer) as previous_year,
+  cast(weekofyear(o_orderdate - interval 7 day) as integer) as previous_week
+from orders
+"""

@@ -24,10 +24,11 @@ from parity.stand_in import (
 from sharemill import DEFAULT_RULES, AsOf, CleanSettings, MartSettings, jobs
 from sharemill.functions import classify as names
 from sharemill.functions import measures, text
-from sharemill.functions.periods import Windows, period_index
+from sharemill.functions.periods import Windows, period_index, previous_iso_week, week_before
 from sharemill.operators import checks, dimensions, ranks, totals
 from sharemill.operators.aggregates import period_pivot, sum_by
 from sharemill.operators.enrich import enrich
+from sharemill.operators.rule_tables import bucket_by_table, classify_by_table
 from sharemill.plans import cleaning, marts
 from sharemill.sources import schemas, sinks
 from sharemill.sources.staging import new_folder
@@ -221,6 +222,39 @@ def bucket_lookup(spark, sf_dir):
     return _named_channels(spark, sf_dir).withColumn("group_ch", names.bucket_code(label, DEFAULT_RULES.buckets))
 
 
+@query
+def classify_table(spark, sf_dir):
+    """Customers' names of all orders by rules from a table: one for each supplier, some with inner wildcards."""
+    number = F.col("s_suppkey") % 997
+    pattern = (
+        F.when(F.col("s_suppkey") % 4 == 1, F.concat(F.lit("CUSTOMER#0%"), F.lpad((number % 100).cast("string"), 2, "0")))
+        .when(F.col("s_suppkey") % 4 == 2, F.concat(F.lit("CUST_MER#000000"), F.lpad(number.cast("string"), 3, "0")))
+        .otherwise(F.concat(F.lit("CUSTOMER#"), F.lpad(number.cast("string"), 8, "0"), F.lit("%")))
+    )
+    rules = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("position"), pattern.alias("pattern"), F.col("s_name").alias("label"))
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    named = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_name")
+    return classify_by_table(named, "c_name", rules).select("o_orderkey", "label")
+
+
+@query
+def bucket_table(spark, sf_dir):
+    """The genre of every line item's part, looked up in lists that are a table: part names by size."""
+    members = table(spark, sf_dir, "part").where("p_size > 3").select(F.col("p_size").alias("code"), F.upper("p_name").alias("name"))
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return bucket_by_table(lines.select(*LINE, F.initcap("p_name").alias("name")), "name", members).select(*LINE, "bucket")
+
+
+@query
+def as_of_weeks(spark, sf_dir):
+    """The week a run on each order's day reports on, both ways, year ends and week 0 included."""
+    days = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()
+    (year, week), (before_year, before_week) = week_before(F.col("day")), previous_iso_week(F.col("day"))
+    return days.select(
+        "day", year.alias("asof_year"), week.alias("asof_week"), before_year.alias("previous_year"), before_week.alias("previous_week")
+    )
+
+
 @registered("period_index")
 def period_index_compat(spark, sf_dir):
     rows = facts(spark, sf_dir, (*LINE, "year_of_week", "week_no"))

@@ -79,3 +79,14 @@ class Windows:
     def is_needed(self, index: Column) -> Column:
         """Whether any measure looks at this period."""
         return self.is_current(index) | self.is_trailing(index) | self.is_year_to_date(index)
+
+
+def week_before(day: Column) -> tuple[Column, Column]:
+    """ISO year and week of ``day`` minus one, within the same ISO year: week 1 gives week 0. NULL for NULL."""
+    return F.extract(F.lit("yearofweek"), day).cast("int"), F.weekofyear(day) - 1
+
+
+def previous_iso_week(day: Column) -> tuple[Column, Column]:
+    """ISO year and week of the day seven days before: week 1 gives week 52 or 53 of the year before."""
+    earlier = F.date_sub(day, 7)
+    return F.extract(F.lit("yearofweek"), earlier).cast("int"), F.weekofyear(earlier)

@@ -9,7 +9,7 @@ from sharemill import AsOf, CleanSettings, MartSettings, jobs
 from sharemill.plans import cleaning, marts
 from sharemill.sources import schemas
 from sharemill.sources.sinks import write_period, write_periods, write_snapshot
-from sharemill.sources.staging import new_folder, staged
+from sharemill.sources.staging import Staging, new_folder, period_times, shared_folder, staged
 from sharemill.sources.tables import open_table
 
 AS_OF = AsOf(2020, 7)
@@ -232,3 +232,91 @@ def test_marts_from_kept_sums(spark, tables):
     for name, mart in expected.items():
         rows, same = ([str(r) for r in x.drop("update_date").collect()] for x in (mart, found[name]))
         assert rows and sorted(rows) == sorted(same)
+
+
+def mart_rows(spark, output):
+    return {name: sorted(str(r) for r in spark.read.schema(schema).parquet(f"{output}/{name}").drop("update_date").collect()) for name, schema in jobs.DECLARED.items()}
+
+
+def test_the_sums_job_reads_what_changed(spark, tables):
+    """New weeks, late ones and ones written again, and nothing else; the marts from sums are those from all facts."""
+    output = tables["output"]
+    for week in (6, 7):
+        jobs.clean(spark, AsOf(2020, week), **tables)
+    first = jobs.main(["sums", "--output", output], spark)["refreshed"]
+    assert set(first) == {(name, AsOf(2020, week)) for name in jobs.SUMS for week in (6, 7)}
+    assert jobs.main(["sums", "--output", output], spark)["refreshed"] == []
+    late = spark.read.parquet(tables["channel_feed"]).where("week_no = '6'").withColumns({"week": F.lit("5"), "week_no": F.lit("5")})
+    late.write.mode("append").parquet(tables["channel_feed"])
+    jobs.clean(spark, AsOf(2020, 5), **tables)
+    assert {week for _, week in jobs.refresh_sums(spark, facts=output, output=output)} == {AsOf(2020, 5)}
+    marts_job = ["marts", "--as-of", "2020-W07", "--ytd-week", "5", "--output", output]
+    from_sums = jobs.main([*marts_job, "--from-sums"], spark)
+    before = mart_rows(spark, output)
+    assert jobs.main(marts_job, spark) == from_sums and mart_rows(spark, output) == before
+    # an old week is written again: its sums are, and the marts change with them
+    path = f"{output}/LA_CHANNEL_TBL/P_YEAR_OF_WEEK=2020/P_WEEK_NO=6"
+    again = spark.createDataFrame(spark.read.parquet(path).withColumn("share_pct", F.col("share_pct") * 3).collect(), spark.read.parquet(path).schema)
+    again.write.mode("overwrite").parquet(path)
+    assert {week for _, week in jobs.refresh_sums(spark, facts=output, output=output)} == {AsOf(2020, 6)}
+    jobs.main([*marts_job, "--from-sums"], spark)
+    changed = mart_rows(spark, output)
+    assert changed["LA_NETWORK_SHARE"] != before["LA_NETWORK_SHARE"]
+    jobs.main(marts_job, spark)
+    assert mart_rows(spark, output) == changed
+
+
+def test_one_week_of_sums_scans_one_folder(spark, tables, monkeypatch):
+    output = tables["output"]
+    for week in (6, 7):
+        jobs.clean(spark, AsOf(2020, week), **tables)
+    read = []
+    write = jobs.write_period
+    monkeypatch.setattr(jobs, "write_period", lambda rows, *a, **k: read.append(rows.inputFiles()) or write(rows, *a, **k))
+    jobs.main(["sums", "--as-of", "2020-W07", "--output", output], spark)
+    assert len(read) == 3 and all(files and all("P_WEEK_NO=7" in file for file in files) for files in read)
+
+
+def test_sums_of_a_removed_week_go(spark, tables):
+    output = tables["output"]
+    for week in (6, 7):
+        jobs.clean(spark, AsOf(2020, week), **tables)
+    jobs.refresh_sums(spark, facts=output, output=output)
+    import shutil
+
+    shutil.rmtree(f"{output}/LA_CHANNEL_TBL/P_YEAR_OF_WEEK=2020/P_WEEK_NO=6")
+    assert len(jobs.refresh_sums(spark, facts=output, output=output)) == 2
+    assert set(period_times(spark, f"{output}/LA_NETWORK_SHARE_SUMS")) == {(2020, 7)}
+    assert period_times(spark, f"{output}/none") == {}
+
+
+def exists(spark, path):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def test_staging_deletes_its_tables(spark):
+    with Staging(spark) as staging:
+        table, other = staging.table(spark.range(5), "one"), staging.folder("two")
+        kept = list(staging.folders)
+        assert table.count() == 5 and exists(spark, kept[0]) and kept[1] == other
+    assert staging.folders == [] and not any(exists(spark, path) for path in kept)
+    with pytest.raises(Exception, match="stop"), Staging(spark) as staging:
+        staging.table(spark.range(5), "good")
+        kept = staging.folders[:1]
+        bad = spark.range(5).select(F.raise_error(F.lit("stop")).alias("x").cast("int"))
+        staging.table(bad, "bad")
+    assert staging.folders == [] and not exists(spark, kept[0])
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://one:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster)
