@@ -15,7 +15,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -158,13 +157,11 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: st
     usable = signed.where("digest is not null and doc_id is not null")
     grouped = usable.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.max("bands").alias("bands"))
     classes = staged(grouped.withColumn("cid", F.monotonically_increasing_id()), "classes")
-    links = _class_links(docs, classes, settings, doc_id, text)
+    joined = _class_components(docs, classes, settings, doc_id, text)
 
     member = usable.select("doc_id", "digest").join(classes.select("digest", "rep", "cid"), "digest")
-    if (roots := _roots(links, classes, member)) is None:
-        labelled = member.select("doc_id", F.col("rep").alias("component_id"))
-    else:
-        labelled = member.join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("component_id"))
+    roots = _roots(joined, classes, member)
+    labelled = member.join(roots, "rep", "left").select("doc_id", F.coalesce("root", "rep").alias("component_id"))
     # one row per id that is not its own component: few, and unique
     other = labelled.where("component_id <> doc_id").groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     return (
@@ -176,21 +173,21 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings(), doc_id: st
     )
 
 
-def _roots(links: DataFrame, classes: DataFrame, member: DataFrame) -> DataFrame | None:
+def _roots(joined: DataFrame, classes: DataFrame, member: DataFrame) -> DataFrame:
     """(rep, root): the smallest id each class's component holds, where that isn't its own."""
-    reps = classes.select("cid", "rep")
-    by_rep = (
-        links.join(reps.toDF("a", "one"), "a").join(reps.toDF("b", "other"), "b").select("one", "other")
-    )
+    of = classes.select("cid", "rep").join(joined.toDF("cid", "root"), "cid", "left").select("rep", F.coalesce("root", "cid").alias("component"))
+    least = of.groupBy("component").agg(F.min("rep").alias("root"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    roots = of.join(least, "component").where("rep <> root").select(F.col("rep").alias("node"), "root")
     # an id that stands for several texts joins their classes
     several = member.groupBy("doc_id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high or low < doc_id and high = doc_id")
-    own = member.join(several.select("doc_id"), "doc_id").select(F.col("doc_id").alias("one"), F.col("rep").alias("other"))
-    edges = by_rep.union(own).where("one <> other")
-    return components(edges).toDF("rep", "root")
+    own = staged(member.join(several.select("doc_id"), "doc_id").select("doc_id", "rep").where("doc_id <> rep"), "several")
+    if not own.isEmpty():
+        roots = components(own, staged(roots, "class-roots"))
+    return roots.toDF("rep", "root")
 
 
-def _class_links(docs: DataFrame, classes: DataFrame, settings: Settings, doc_id: str, text: str) -> DataFrame:
-    """Linked pairs (a, b) of classes, enough of them to connect each component."""
+def _class_components(docs: DataFrame, classes: DataFrame, settings: Settings, doc_id: str, text: str) -> DataFrame:
+    """(node, root) of the classes' components. Each round adds its links to the components of those before it."""
     percent = settings.percent
     banded = classes.select("cid", "n", F.explode("bands").alias("bucket"))
     first = banded.groupBy("bucket").agg(F.min("cid").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -200,27 +197,24 @@ def _class_links(docs: DataFrame, classes: DataFrame, settings: Settings, doc_id
 
     star = inside.where("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b")).distinct()
     measured = staged(_confirmed(star, sets), "pivot-pairs")
-    found = [measured.where(_linked(settings)).select("a", "b")]
+    links = measured.where(_linked(settings)).select("a", "b")
+    roots = components(links)
+    rest = _open_buckets(inside, roots, links)
     for _ in range(settings.pivots):
-        rest = _open_buckets(inside, reduce(DataFrame.union, found))
-        degree = reduce(DataFrame.union, found).select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count(F.lit(1)).alias("degree"))
-        ranked = rest.join(degree, "cid", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
-        centres = ranked.groupBy("bucket").agg(F.max(F.struct("degree", (-F.col("cid")).alias("least"), "component")).alias("best"))
-        centres = centres.select("bucket", (-F.col("best.least")).alias("centre"), F.col("best.component").alias("of"))
+        if rest.isEmpty():
+            return roots
         pairs = (
-            rest.join(centres, "bucket").where("component <> of")
+            rest.where("component <> of")
             .select(F.least("cid", "centre").alias("a"), F.greatest("cid", "centre").alias("b")).distinct()
             .join(measured.select("a", "b"), ["a", "b"], "left_anti")
         )
         more = staged(_confirmed(pairs, sets).where(_linked(settings)).select("a", "b"), "pivot-links")
-        found.append(more)
         if more.isEmpty():
             break
-    known = reduce(DataFrame.union, found)
-    rest = _open_buckets(inside, known)
-    pairs = _rare_pairs(rest.groupBy("cid").agg(F.min("n").alias("n"), F.min("component").alias("component")), known, sets, settings)
-    found.append(staged(_confirmed(pairs, sets).where(_linked(settings)).select("a", "b"), "pair-links"))
-    return reduce(DataFrame.union, found)
+        links, roots = links.union(more), components(more, roots)
+        rest = _open_buckets(rest, roots, links)
+    pairs = _rare_pairs(rest.groupBy("cid").agg(F.min("n").alias("n"), F.min("component").alias("component")), links, sets, settings)
+    return components(staged(_confirmed(pairs, sets).where(_linked(settings)).select("a", "b"), "pair-links"), roots)
 
 
 def _rare_pairs(open_sets: DataFrame, links: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
@@ -268,8 +262,13 @@ def _rare_pairs(open_sets: DataFrame, links: DataFrame, sets: DataFrame, setting
     most = F.least("common", "common_one") + beyond
     # from the first shingle that two sets share there on, they share no more than either has left
     most = F.least(most, "left", "left_one")
+    # sets of sizes too far apart aren't even compared: sizes whose ratio may pass lie in the same class or in neighbours
+    width = 1.0001 * max(math.log(100 / percent), 1e-6)
+    near = F.floor(F.log("n_one") / F.lit(width))
+    one = one.withColumn("class", F.explode(F.array(near - 1, near, near + 1)))
+    held = held.withColumn("class", F.floor(F.log("n") / F.lit(width)))
     pairs = (
-        held.join(one, "shingle")
+        held.join(one, ["shingle", "class"])
         .where("component <> component_one and (component = main or cid < cid_one)")
         .where(100 * F.least("n", "n_one") >= percent * F.greatest("n", "n_one"))
         .where((100 + percent) * most >= percent * (F.col("n") + F.col("n_one")))
@@ -277,12 +276,20 @@ def _rare_pairs(open_sets: DataFrame, links: DataFrame, sets: DataFrame, setting
     return pairs.select(F.least("cid", "cid_one").alias("a"), F.greatest("cid", "cid_one").alias("b")).distinct()
 
 
-def _open_buckets(inside: DataFrame, links: DataFrame) -> DataFrame:
-    """The buckets that span several components: bucket, cid, n, pivot, component."""
-    roots = components(links).toDF("cid", "root")
-    marked = inside.join(roots, "cid", "left").withColumn("component", F.coalesce("root", "cid")).drop("root")
-    spans = marked.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return staged(marked.join(spans.select("bucket"), "bucket"), "open-buckets")
+def _open_buckets(inside: DataFrame, roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The buckets that span several components: bucket, cid, n, component, and the bucket's set with the most links
+    (centre) with its component (of)."""
+    degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count(F.lit(1)).alias("degree"))
+    marked = (
+        inside.select("bucket", "cid", "n").join(roots.toDF("cid", "root"), "cid", "left").join(degree, "cid", "left")
+        .select("bucket", "cid", "n", F.coalesce("root", "cid").alias("component"), F.coalesce("degree", F.lit(0)).alias("degree"))
+    )
+    spans = marked.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"),
+        F.max(F.struct("degree", (-F.col("cid")).alias("least"), "component")).alias("best"),
+    )
+    spans = spans.where("low < high").select("bucket", (-F.col("best.least")).alias("centre"), F.col("best.component").alias("of"))
+    return staged(marked.drop("degree").join(spans, "bucket"), "open-buckets")
 
 
 def keep_one(docs: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
