@@ -28,7 +28,8 @@ _NAME = r"\p{Lu}[\p{L}'’-]+"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}",
     "access_key": r"(?<![A-Z0-9])AKIA[0-9A-Z]{16}(?![0-9A-Za-z])",
-    "secret": r"(?<=(?i:password|passwd|secret|token|api_key)(?: ?[=:] ?[\"']?))(?=[/+_-]{0,199}[A-Za-z0-9])[A-Za-z0-9/+_-]{8,200}+",
+    # the first test looks back three signs only: it spares most places the second
+    "secret": r"(?<=[=:] ?[\"']?)(?<=(?i:password|passwd|secret|token|api_key)(?: ?[=:] ?[\"']?))(?=[/+_-]{0,199}[A-Za-z0-9])[A-Za-z0-9/+_-]{8,200}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?<![0-9.])(?:(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])\.){3}(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?![0-9]|\.[0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
@@ -98,8 +99,16 @@ def kind_of(entity: Column) -> Column:
     return kind
 
 
+#: What card numbers begin with, by their length, before a check digit that one number in ten has by chance.
+CARDS = (
+    "4[0-9]{12}(?:[0-9]{3}){0,2}", "5[1-5][0-9]{14}", "2(?:22[1-9]|2[3-9][0-9]|[3-6][0-9]{2}|7[01][0-9]|720)[0-9]{12}",
+    "3[47][0-9]{13}", "3(?:0[0-5]|[689][0-9])[0-9]{11}", "(?:35|62|65|6011|64[4-9])[0-9]{12,17}",
+)
+
+
 def _card(entity: Column) -> Column:
-    return F.call_function("luhn_check", F.regexp_replace(entity, "[^0-9]", ""))
+    digits = F.regexp_replace(entity, "[^0-9]", "")
+    return F.length(digits).between(13, 19) & digits.rlike(f"^(?:{'|'.join(CARDS)})$") & F.call_function("luhn_check", digits)
 
 
 def _person(entity: Column) -> tuple[Column, Column]:
@@ -142,9 +151,9 @@ def drawn(kind: Column, norm: Column, attempt: Column, key: str) -> Column:
     email = F.concat(_same_format(local, F.slice(stream, F.lit(1), F.length(local))), extra, F.lit("@mail"), domain, F.lit(".example.com"))
     octets = F.transform(F.slice(stream, 1, 4), lambda b: (b % 254 + 1).cast("string"))
     ip = F.concat((F.element_at(stream, 5) % 223 + 1).cast("string"), F.lit("."), F.array_join(F.slice(octets, 2, 3), "."))
-    # the country code's first digit stays; the first digit of a card stays, and its check digit fits if it did
+    # the country code's first digit stays; the first four digits of a card, its issuer's, stay, and its check digit fits
     phone = F.when(norm.startswith("+"), F.concat(F.substring(norm, 1, 2), F.substring(same, F.lit(3), F.length(norm)))).otherwise(same)
-    body = F.concat(F.substring(norm, 1, 1), F.substring(same, F.lit(2), F.length(norm) - 2))
+    body = F.concat(F.substring(norm, 1, 4), F.substring(same, F.lit(5), F.length(norm) - 5))
     fitting = F.filter(F.array(*[F.concat(body, F.lit(str(d))) for d in range(10)]), lambda c: F.call_function("luhn_check", c))
     card = F.when(F.call_function("luhn_check", norm), F.element_at(fitting, 1)).otherwise(F.concat(F.substring(norm, 1, 1), F.substring(same, F.lit(2), F.length(norm))))
     iban = F.concat(F.substring(norm, 1, 2), F.substring(same, F.lit(3), F.length(norm)))
@@ -170,8 +179,10 @@ def unit_surrogates(units: DataFrame, key: str) -> DataFrame:
     none of which is itself a unit."""
     attempt = F.col("attempt")
     found = staged(units.select("unit_kind", "norm").distinct().withColumn("attempt", F.lit(0)), "units")
+    tasks = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for _ in range(MAX_DRAWS):
-        table = staged(found.withColumn("surrogate", drawn(F.col("unit_kind"), F.col("norm"), attempt, key)), "draws")
+        # units are small and drawing takes time: a small table is no reason for a single task
+        table = staged(found.repartition(tasks, "unit_kind", "norm").withColumn("surrogate", drawn(F.col("unit_kind"), F.col("norm"), attempt, key)), "draws")
         # of equal draws the first unit keeps its own
         first = table.groupBy("unit_kind", "surrogate").agg(F.min("norm").alias("holder"), F.count(F.lit(1)).alias("n")).where("n > 1")
         real = table.select("unit_kind", F.col("norm").alias("surrogate"), F.lit(True).alias("is_real"))
@@ -230,12 +241,12 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     column, n = quoted(text), fresh(docs.columns, count)
     # plain searches first: they are far cheaper than the patterns
     plain = F.lower(column)
-    hint = reduce(Column.__or__, [plain.contains(word) for word in HINTS], column.rlike("[0-9@]"))
-    has = F.coalesce(hint & column.rlike(ENTITY), F.lit(False))
-    # texts by their digest: copies are looked at once
+    hint = F.coalesce(reduce(Column.__or__, [plain.contains(word) for word in HINTS], column.rlike("[0-9@]")), F.lit(False))
+    # texts by their digest: copies are looked at once. The patterns run once over every text with a hint, and once more
+    # to split those that have an entity
     digest = F.md5(column.cast("binary"))
-    with_any = docs.where(has).select(digest.alias("digest"), F.regexp_extract_all(column, F.lit(ENTITY), F.lit(0)).alias("entities"))
-    found = staged(with_any.groupBy("digest").agg(F.max("entities").alias("entities")), "entities")
+    with_any = docs.where(hint).select(digest.alias("digest"), F.regexp_extract_all(column, F.lit(ENTITY), F.lit(0)).alias("entities"))
+    found = staged(with_any.where(F.size("entities") > 0).groupBy("digest").agg(F.max("entities").alias("entities")), "entities")
     replacements = entity_surrogates(found.select(F.explode("entities").alias("entity")).distinct(), key)
     placed = found.select("digest", F.posexplode("entities").alias("at", "entity")).join(staged(replacements, "replacements"), "entity")
     by_text = placed.groupBy("digest").agg(
@@ -246,13 +257,15 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str =
     for name in ("_digest", "_parts", "_number"):
         own.append(fresh([*docs.columns, n, *own], name))
     by_text = by_text.select(F.col("digest").alias(own[0]), F.col("parts")["replacement"].alias(own[1]), F.col("n").alias(own[2]))
-    between = F.split(column, ENTITY, -1)
-    # what lies between the entities, and after each but the last its surrogate
-    rebuilt = F.concat(
-        F.array_join(F.zip_with(F.slice(between, F.lit(1), F.size(quoted(own[1]))), quoted(own[1]), lambda a, b: F.concat(a, b)), ""),
-        F.element_at(between, -1),
-    )
-    changed = docs.where(has).join(by_text, digest == quoted(own[0]))
-    kept = [quoted(c) for c in docs.columns]
-    new = [rebuilt.alias(c) if c == text else quoted(c) for c in docs.columns]
-    return changed.select(*new, quoted(own[2]).alias(n)).unionByName(docs.where(~has).select(*kept, F.lit(0).alias(n)))
+    # what lies between the entities (an array of one, so that the text is split once), and after each but the last its surrogate
+    between = F.array(F.split(column, ENTITY, -1))
+
+    def put_together(parts: Column) -> Column:
+        filled = F.zip_with(F.slice(parts, F.lit(1), F.size(quoted(own[1]))), quoted(own[1]), lambda a, b: F.concat(a, b))
+        return F.concat(F.array_join(filled, ""), F.element_at(parts, -1))
+
+    rebuilt = F.element_at(F.transform(between, put_together), 1)
+    changed = docs.where(hint).join(by_text, digest == quoted(own[0]), "left")
+    kept, hit = [quoted(c) for c in docs.columns], quoted(own[0]).isNotNull()
+    new = [F.when(hit, rebuilt).otherwise(quoted(c)).alias(c) if c == text else quoted(c) for c in docs.columns]
+    return changed.select(*new, F.coalesce(quoted(own[2]), F.lit(0)).alias(n)).unionByName(docs.where(~hint).select(*kept, F.lit(0).alias(n)))
