@@ -216,7 +216,8 @@ class _Search:
 
 
 def _passes(benchmark: DataFrame, settings: Settings, item_id: str, text: str) -> Iterator[list[Shard]]:
-    """The index in parts of bounded size; document frequencies and lengths are those of all items."""
+    """The index, a shard for each class of lengths, in broadcasts of about ``settings.words`` words (most often one, hence one
+    pass over the documents); document frequencies and lengths are those of all items."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,12 +237,20 @@ def _passes(benchmark: DataFrame, settings: Settings, item_id: str, text: str) -
     # similar lengths together: up to 64 words, 128, 256, ...
     length = F.greatest(F.ceil(F.log2(F.col("n").cast("double"))), F.lit(6)).cast("int")
     index = staged(items.join(weighed, "uid").withColumn("class", length), "index")
+    shards, held = [], 0
     for r in sorted(index.groupBy("class").agg(F.sum("n").alias("n")).collect(), key=lambda r: r["class"]):
         parts = -(-r["n"] // settings.words)
         for part in range(parts):
             here = index.where((F.col("class") == r["class"]) & (F.pmod(F.xxhash64("uid"), F.lit(parts)) == part)).collect()
+            own = sum(row["n"] for row in here)
+            if shards and held + own > settings.words:
+                yield shards
+                shards, held = [], 0
             if here:
-                yield [_shard(here, whole["count"], whole["mean"], settings)]
+                shards.append(_shard(here, whole["count"], whole["mean"], settings))
+                held += own
+    if shards:
+        yield shards
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:

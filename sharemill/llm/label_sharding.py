@@ -8,18 +8,23 @@ rows as it takes, those with the fewest links inside their shard first, until si
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sharemill.llm.tables import numbered, quoted, remove, staged, write_staged
 
-#: Steps in which a shard's quota is handed out.
-STEPS = 256
+#: Steps in which a shard's quota is handed out; how often they are made sixteen times finer when nobody gets in.
+STEPS, FINER = 256, 4
 
 
-def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds: int = 8, seed: int = 0) -> DataFrame:
+def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds: int | None = None, seed: int = 0) -> DataFrame:
     """(node, shard) for each row of ``nodes``, which has a unique ``node`` (long) per row.
 
+    Rows move until nobody wishes to, or no wish finds room (or for ``rounds`` rounds). Of two linked rows one moves in a
+    round at most, and only to a shard with more of its neighbours, so that every move lowers the number of cut links.
+
     ``links`` has columns a and b, two nodes each; both directions count, links with itself don't. Shards' numbers of
     rows are at most one apart. A group of linked rows larger than a shard is spread over several.
     """
@@ -32,7 +37,8 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
     # only linked rows take part in the rounds
     linked = start.join(both.select("node").distinct(), "node", "left_semi")
     path, schema = write_staged(linked, "labels"), linked.schema
-    for turn in range(rounds):
+    finer = 0
+    for turn in range(rounds) if rounds is not None else count():
         labels = spark.read.schema(schema).parquet(path)
         wishes = _wishes(labels, both)
         asked = write_staged(wishes, "wishes")
@@ -40,12 +46,21 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
         if queue.isEmpty():
             remove(spark, asked)
             break
-        admitted = _admitted(labels, queue, room, turn, seed)
-        moved = labels.join(admitted, "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
-        new = write_staged(moved, "labels")
-        remove(spark, path)
+        admitted = _admitted(labels, _apart(queue, both, turn, seed), room, STEPS << 4 * finer, turn, seed)
+        granted = write_staged(admitted, "moves")
+        moves = spark.read.schema(admitted.schema).parquet(granted)
+        if none := moves.isEmpty():
+            finer += 1
+        else:
+            finer = 0
+            moved = labels.join(moves, "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
+            new = write_staged(moved, "labels")
+            remove(spark, path)
+            path = new
         remove(spark, asked)
-        path = new
+        remove(spark, granted)
+        if none and finer == FINER:
+            break
     labels = spark.read.schema(schema).parquet(path)
     inside = _neighbours(labels, both).join(labels, ["node", "shard"]).select("node", "links")
     placed = (
@@ -71,14 +86,17 @@ def _wishes(labels: DataFrame, both: DataFrame) -> DataFrame:
     return found.where(F.col("best.links") > F.col("links")).select("node", (-F.col("best.least")).cast("int").alias("target"))
 
 
-def _admitted(labels: DataFrame, wishes: DataFrame, room: int, turn: int, seed: int) -> DataFrame:
-    """The wishes that fit: as many steps of a shard's queue as leave its linked rows within ``room``.
+def _apart(wishes: DataFrame, both: DataFrame, turn: int, seed: int) -> DataFrame:
+    """Those wishes whose row comes before all wishing neighbours in the round's order, so that no two of them are linked."""
+    ranked = wishes.select("node", F.struct(F.xxhash64("node", F.lit(f"order{seed}:{turn}")).alias("hash"), "node").alias("order"))
+    near = ranked.toDF("near", "other")
+    later = both.join(ranked, "node").join(near, "near").where("order > other").select("node").distinct()
+    return wishes.join(later, "node", "left_anti")
 
-    Half of the rows, by a hash, sit out a round, so that two neighbours don't swap places.
-    """
-    awake = F.pmod(F.xxhash64("node", F.lit(f"awake{seed}:{turn}")), F.lit(2)) == 0
-    step = F.pmod(F.xxhash64("node", F.lit(f"queue{seed}:{turn}")), F.lit(STEPS))
-    queue = wishes.where(awake).withColumn("step", step)
+
+def _admitted(labels: DataFrame, wishes: DataFrame, room: int, steps: int, turn: int, seed: int) -> DataFrame:
+    """The wishes that fit: as many steps of a shard's queue as leave its linked rows within ``room``."""
+    queue = wishes.withColumn("step", F.pmod(F.xxhash64("node", F.lit(f"queue{seed}:{turn}")), F.lit(steps)))
     taken = labels.join(queue, "node", "left_anti").groupBy("shard").agg(F.count(F.lit(1)).alias("stay"))
     # a row per shard and step
     sizes = queue.groupBy("target", "step").agg(F.count(F.lit(1)).alias("n"))
@@ -122,7 +140,7 @@ def _evened(placed: DataFrame, shards: int, total: int, seed: int) -> DataFrame:
     return placed.join(moved, "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 8, seed: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None, seed: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, size (UTF-8 bytes of the text, none for null, plus 1), text_crc32, law
     (``rows``), shard, slot (from 0, gapless in each shard, in the order of doc_id), grown_shard (null).
 

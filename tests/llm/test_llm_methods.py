@@ -312,7 +312,7 @@ def test_propagation_keeps_groups_together(spark):
     sizes = Counter(shard.values())
     assert len(shard) == 1600 and max(sizes.values()) - min(sizes.values()) <= 1
     small = [(a, b) for a, b in links if a < 5000]
-    assert sum(shard[a] != shard[b] for a, b in small) < 0.1 * len(small)
+    assert not any(shard[a] != shard[b] for a, b in small)  # each of these groups fits a shard
 
 
 def test_surrogates_by_format_and_coreference(spark):
@@ -464,3 +464,18 @@ def test_many_long_words_stay_bounded(spark):
         assert sum(len(p) for _, p, _ in tagger.words([t.encode() for _, t in blobs])) == 180 and tagger.ids.bytes < 1 << 21
     finally:
         crf.BYTES = before
+
+
+def test_items_of_all_lengths_take_one_pass(spark):
+    """Every length class is in one broadcast: the documents are read once, and each item is found."""
+    r = random.Random(8)
+    items = [" ".join(f"w{r.randrange(5000)}" for _ in range(n)) for n in (5, 20, 70, 150, 400, 900, 2000)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    texts = [f"before it {item} after it" for item in items] + ["nothing of this kind"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    found = bm25.contaminated(docs, benchmark)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {(x["doc_id"], x["item_id"]) for x in found.collect()} >= {(n, n) for n in range(len(items))}
+    small = bm25.contaminated(docs, benchmark, bm25.Settings(words=300))
+    assert sorted(map(str, small.collect())) == sorted(map(str, found.collect()))
+    assert [x["doc_id"] for x in bm25.keep_clean(docs, benchmark).collect()] == [len(items)]
