@@ -14,7 +14,7 @@ from sharemill.llm.crf_language import keep_identified
 from sharemill.llm.label_sharding import shard_documents
 from sharemill.llm.minmax_dedup import Settings, keep_one
 from sharemill.llm.poisson_mix import poisson_mix
-from sharemill.llm.tables import staged, table
+from sharemill.llm.tables import quoted, staged, table
 
 SHARDS = 8
 
@@ -36,7 +36,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that sources weigh as the square root of their size, in shuffled order."""
-    return poisson_mix(docs).select(*[f"`{c}`" for c in docs.columns])
+    return poisson_mix(docs).select(*map(quoted, docs.columns))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
