@@ -34,7 +34,8 @@ class Settings:
     """States; words that are symbols; classes of other words; words whose count goes to every task (the other counts
     are joined), which with the next bound of bytes bounds the broadcast; longest such word; for each pass over all
     training text the number of parts (each a divisor of the first) after each of which the model is made anew; weight of
-    the symbols' overall shares in a state's; elements of a piece of a text, and of all that a task works on at a time."""
+    the symbols' overall shares in a state's; elements of a piece of a text, and of all that a task works on at a time; texts
+    that a task takes out of a batch at a time."""
 
     states: int = 8
     symbols: int = 16_384
@@ -43,8 +44,9 @@ class Settings:
     longest: int = 64
     passes: tuple[int, ...] = (8, 4, 1)
     weight: float = 500.0
-    piece: int = 256
+    piece: int = 512
     room: int = 300_000
+    texts: int = 512
 
     @property
     def end(self) -> int:
@@ -81,7 +83,7 @@ def word_counts(texts: DataFrame, room: int = 300_000, size: int = 1 << 26) -> D
         counts: Counter = Counter()
         read = 0
         for batch in batches:
-            for text in utf8(batch.column(0)):
+            for text in (t for part in slices(batch, 512) for t in utf8(part.column(0))):
                 read += len(text or b"")
                 for piece in words(text):
                     counts.update(piece)
@@ -145,24 +147,22 @@ def encoded(texts: DataFrame, lex: Lexicon, n_texts: int, settings: Settings) ->
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = sent.value
-        common = {w: (at, n) for at, (w, n) in enumerate(held.counts.items())}
+        place = {w: at for at, w in enumerate(held.counts)}
         total = np.log10(held.class_tokens + held.class_words + 1.0)
         sizes = np.log10(np.fromiter(held.counts.values(), float, len(held.counts)) + 1)
         # of every word with a broadcast count: its symbol, and its share in its class
-        symbol, inner = np.arange(len(common)), np.zeros(len(common))
-        for w, (at, _) in common.items():
+        symbol, inner = np.arange(len(place)), np.zeros(len(place))
+        for w, at in place.items():
             if at >= settings.symbols:
                 symbol[at] = settings.symbols + word_class(w, settings.classes)
                 inner[at] = sizes[at] - total[symbol[at] - settings.symbols]
-        place = {w: at for w, (at, _) in common.items()}
         ends = np.log10(n_texts + 1.0)
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, settings.texts)):
             rows = [encode_one(t, place, symbol, inner, sizes, total) for t in utf8(batch.column(2))]
             columns = [
                 batch.column(0), batch.column(1), pa.array([r[0] + 1 for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
                 pa.array([r[2] + (n_texts > 0) for r in rows], pa.int64()), pa.array([r[3] + ends for r in rows], pa.float64()),
-                pa.array([r[4] for r in rows], pa.float64()),
-                pa.array([[{"word": w, "n": n} for w, n in r[5].items()] for r in rows], pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))),
+                pa.array([r[4] for r in rows], pa.float64()), counters([r[5] for r in rows]),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "symbols", "n_known", "base", "inner", "rare"])
 
@@ -188,6 +188,18 @@ def encoded(texts: DataFrame, lex: Lexicon, n_texts: int, settings: Settings) ->
     return texts.mapInArrow(encode, schema)
 
 
+def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
+    """A batch a few rows at a time, so that only these are held as Python objects."""
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+
+
+def counters(found: list[Counter]) -> pa.ListArray:
+    """Each counter as a list of (word, n)."""
+    parts = [pa.array([w for one in found for w in one], pa.binary()), pa.array([n for one in found for n in one.values()], pa.int64())]
+    offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(parts, ["word", "n"]))
+
+
 # -- Baum-Welch -------------------------------------------------------------------------------------------------
 
 
