@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sharemill.llm.tables import fresh, quoted, staged
+from sharemill.llm.tables import chosen_by_text, quoted, staged
 from sharemill.llm.words import pieces, utf8
 
 #: The usual BM25 constants.
@@ -283,16 +283,17 @@ def _hits(sent, settings: Settings):
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings(), text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns, that contain no item."""
-    copy = fresh(docs.columns, "_text")
     for shards in _passes(benchmark, settings, item_id, item_text):
         sent = docs.sparkSession.sparkContext.broadcast(shards)
 
-        def drop(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def chooser(sent=sent):
             index = _Search(sent.value, settings)
-            for batch in batches:
-                hit = {at for at, _, _ in index.texts(utf8(batch.column(batch.num_columns - 1)))}
-                keep = pa.array([at not in hit for at in range(batch.num_rows)], pa.bool_())
-                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(keep)
 
-        docs = docs.withColumn(copy, quoted(text)).mapInArrow(drop, docs.schema)
+            def chosen(texts: list[bytes | None]) -> list[bool]:
+                hit = {at for at, _, _ in index.texts(texts)}
+                return [at not in hit for at in range(len(texts))]
+
+            return chosen
+
+        docs = chosen_by_text(docs, text, chooser)
     return docs

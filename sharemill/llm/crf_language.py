@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from sharemill.llm.chains import Chains, Pieces
 from sharemill.llm.splits import held_out
-from sharemill.llm.tables import fresh, quoted
+from sharemill.llm.tables import chosen_by_text
 from sharemill.llm.words import pieces, utf8
 
 UNDETERMINED = "und"
@@ -327,13 +327,9 @@ def keep_identified(docs: DataFrame, model: Model | None = None, least: float =
     """
     model = model or fitted(docs, text, lang, doc_id, fit)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    verdict, column = fresh(docs.columns, "_keep"), quoted(text)
 
-    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chooser():
         tagger = Tagger(sent.value)
-        for batch in batches:
-            names, score = tagger.documents(utf8(batch.column(batch.num_columns - 1)))
-            keep = pa.array([n != UNDETERMINED and s >= least for n, s in zip(names, score, strict=True)], pa.bool_())
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(keep)
+        return lambda texts: [n != UNDETERMINED and s >= least for n, s in zip(*tagger.documents(texts), strict=True)]
 
-    return docs.withColumn(verdict, column).mapInArrow(decide, docs.schema)
+    return chosen_by_text(docs, text, chooser)

@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
+
+from sharemill.llm.words import utf8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,9 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, or else a folder in the warehouse, which all machines see as well."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged").rstrip("/")
+    """The folder all machines see: ``spark.checkpoint.dir``. On one machine (master ``local``) it may be unset; then it is
+    a folder in the warehouse."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all machines of the cluster see")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -58,6 +66,23 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def chosen_by_text(docs: DataFrame, text: str, chooser: Callable[[], Callable[[list[bytes | None]], list[bool]]]) -> DataFrame:
+    """The rows of ``docs``, all columns, whose texts are chosen by a function that ``chooser`` makes once a task.
+
+    Columns go through Arrow under plain names, because there Spark takes none with dots or backticks.
+    """
+    fields = [StructField(f"c{at}", f.dataType, f.nullable, f.metadata) for at, f in enumerate(docs.schema)]
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = chooser()
+        for batch in batches:
+            keep = pa.array(chosen(utf8(batch.column(batch.num_columns - 1))), pa.bool_())
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(keep)
+
+    plain = docs.select("*", quoted(text)).toDF(*[f.name for f in fields], "text")
+    return plain.mapInArrow(choose, StructType(fields)).toDF(*docs.columns)
+
+
 def numbered(df: DataFrame, keys: list[Column], label: str, position: str = "position") -> DataFrame:
     """Rows with their position (long, from 0) in the order of ``keys``.
 
