@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 from datetime import date, timedelta
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from sharemill import DEFAULT_RULES, AsOf
 from sharemill.functions.classify import bucket_code, classify
 from sharemill.functions.periods import previous_iso_week, week_before
-from sharemill.operators.rule_tables import bucket_by_table, classify_by_table
+from sharemill.operators.rule_tables import bucket_by_table, classify_by_table, rules_met
 
 NAMES = ["Star India", "star", "SONY", "Zee Entertainment", "ZEE x ENTERTAINMENT y", "Zeemedia", "Sun", "", None, "other", "100%", "a_b", "axb", "Star India"]
 
@@ -34,6 +35,36 @@ def test_repeated_and_empty_rules(spark):
     assert {tuple(r) for r in classify_by_table(rows, "name", rules).collect()} == {("abc", None), ("x", "x")}
 
 
+def test_names_meet_few_of_many_rules_that_begin_alike(spark):
+    """Ends tell rules apart that share their beginning: the rules a name meets don't grow with the rules there are."""
+    names = [f"NAME#{n:05d}" for n in range(500)]
+    met = {}
+    for many in (50, 500):
+        rules = [p for n in range(many) for p in (f"NAME#0%{n:03d}", f"N_ME#{n:05d}", f"NAME#{n:05d}%", f"%#{n:05d}")]
+        found = rules_met(spark.createDataFrame([(n,) for n in names], "_name string"), rules_frame(spark, [(p, p) for p in rules]))
+        met[many] = found.groupBy("_name").count().agg(F.max("count")).first()[0]
+    assert met == {50: 4, 500: 4}
+
+
+def test_many_rules_equal_a_plain_search(spark):
+    """Patterns of all kinds that share beginnings, ends or both, next to a search through the rules in their order."""
+    r = random.Random(3)
+    wild = ["%", "_", "%%", "_%", "__", "\\%", "\\_", "\\\\", "A", "B", "AB", "É", "\n", "𝄞"]
+    patterns = ["".join(r.choice(wild) for _ in range(r.randint(0, 6))) for _ in range(400)]
+    names = ["".join(r.choice("abAB%_\\é\n𝄞") for _ in range(r.randint(0, 7))) for _ in range(600)]
+
+    def regex(pattern):
+        parts = re.findall(r"\\.|.", pattern, re.S)
+        return re.compile("".join(".*" if p == "%" else "." if p == "_" else re.escape(p[-1]) for p in parts), re.S)
+
+    for step in (1, 40):  # many rules, of which early ones match most names, and few
+        rules = [(p, f"{at} {p}") for at, p in enumerate(patterns) if p.strip("%") and at % step == 0]
+        ordered = [(regex(p), label) for p, label in rules]
+        wanted = {(n, next((label for p, label in ordered if p.fullmatch(n.upper())), n)) for n in names}
+        found = classify_by_table(spark.createDataFrame([(n,) for n in names], "name string"), "name", rules_frame(spark, rules))
+        assert {tuple(x) for x in found.collect()} == wanted and len(wanted) == len(set(names))
+
+
 def test_buckets_equal_those_of_the_expression(spark):
     members = [(code, name) for code, names in DEFAULT_RULES.buckets.items() for name in names] + [(99, "&TV"), (1, None)]
     rows = spark.createDataFrame([(name.lower(),) for _, name in members[:-1]] + [("none",), (None,)], "name string")
