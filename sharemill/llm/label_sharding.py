@@ -2,17 +2,20 @@
 
 Rows are nodes, linked where they belong together; a shard is a label. Rows start in shards given by a hash. In
 each round every linked row counts its neighbours by shard and asks to move where most of them are; a shard admits
-what its quota has room for, in an order drawn by a hash. Rows without links make room: a last step moves as few
+what its quota has room for, in an order drawn by a hash. When no row finds room any more, groups that are cut though they fit
+a shard move as a whole to where they do. Rows without links make room: a last step moves as few
 rows as it takes, those with the fewest links inside their shard first, until sizes are as even as they can be.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import count
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sharemill.llm.components import components
 from sharemill.llm.tables import numbered, quoted, remove, staged, write_staged
 
 #: Steps in which a shard's quota is handed out; how often they are made sixteen times finer when nobody gets in.
@@ -23,7 +26,8 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
     """(node, shard) for each row of ``nodes``, which has a unique ``node`` (long) per row.
 
     Rows move until nobody wishes to, or no wish finds room (or for ``rounds`` rounds). Of two linked rows one moves in a
-    round at most, and only to a shard with more of its neighbours, so that every move lowers the number of cut links.
+    round at most, and only to a shard with more of its neighbours, so that every move lowers the number of cut links. So does
+    a group that moves as a whole.
 
     ``links`` has columns a and b, two nodes each; both directions count, links with itself don't. Shards' numbers of
     rows are at most one apart. A group of linked rows larger than a shard is spread over several.
@@ -37,7 +41,7 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
     # only linked rows take part in the rounds
     linked = start.join(both.select("node").distinct(), "node", "left_semi")
     path, schema = write_staged(linked, "labels"), linked.schema
-    finer = 0
+    finer, roots = 0, None
     for turn in range(rounds) if rounds is not None else count():
         labels = spark.read.schema(schema).parquet(path)
         wishes = _wishes(labels, both)
@@ -60,7 +64,13 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
         remove(spark, asked)
         remove(spark, granted)
         if none and finer == FINER:
-            break
+            roots = staged(components(both), "roots") if roots is None else roots
+            gathered = _gathered(labels, roots, room, shards, seed)
+            if gathered is None:
+                break
+            finer, new = 0, write_staged(gathered, "labels")
+            remove(spark, path)
+            path = new
     labels = spark.read.schema(schema).parquet(path)
     inside = _neighbours(labels, both).join(labels, ["node", "shard"]).select("node", "links")
     placed = (
@@ -108,6 +118,45 @@ def _admitted(labels: DataFrame, wishes: DataFrame, room: int, steps: int, turn:
     return queue.join(fits.select("target", "step"), ["target", "step"]).select("node", "target")
 
 
+def _gathered(labels: DataFrame, roots: DataFrame, room: int, shards: int, seed: int) -> DataFrame | None:
+    """Labels in which groups that fit a shard, but are cut, are whole in one that has room for the rest of them; None if
+    there is no such group. ``roots`` has the smallest node of each other node's group."""
+    grouped = labels.join(roots, "node", "left").select("node", "shard", F.coalesce("root", "node").alias("root"))
+    sizes = grouped.groupBy("root", "shard").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
+    cut = staged(grouped.join(sizes.where((F.col("parts") > 1) & (F.col("size") <= room)).select("root", "size"), "root"), "cut")
+    free = {s: room for s in range(shards)} | {r["shard"]: room - r["count"] for r in labels.groupBy("shard").count().collect()}  # a row per shard
+    whole, finer = [], 0
+    for turn in count():
+        # a row per group with its rows by shard, then one per shard: there are few
+        own = cut.groupBy("root", "size", "shard").agg(F.count(F.lit(1)).alias("n"))
+        groups = own.groupBy("root", "size").agg(F.map_from_entries(F.collect_list(F.struct("shard", "n"))).alias("own"))
+        at = F.explode(F.array([F.struct(F.lit(s).alias("target"), F.lit(n).cast("bigint").alias("free")) for s, n in free.items()]))
+        places = groups.withColumn("at", at).select("root", "size", "at.*", F.coalesce(F.try_element_at("own", F.col("at.target")), F.lit(0)).alias("here"))
+        places = places.withColumn("more", F.col("size") - F.col("here")).where("more <= free")
+        best = F.max_by(F.struct("target", "more", "free"), F.struct("here", F.xxhash64("root", "target", F.lit(f"gather{seed}"))))
+        step = F.pmod(F.xxhash64("root", F.lit(f"gather{seed}:{turn}")), F.lit(STEPS << 4 * finer))
+        queue = staged(places.groupBy("root").agg(best.alias("best")).select("root", "best.*", step.alias("step")), "queue")
+        # a row per shard and step
+        upto = Window.partitionBy("target").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+        fits = queue.groupBy("target", "free", "step").agg(F.sum("more").alias("more")).withColumn("upto", F.sum("more").over(upto)).where("upto <= free")
+        chosen = staged(queue.join(fits.select("target", "step"), ["target", "step"]).select("root", "target"), "chosen")
+        if chosen.isEmpty():
+            if queue.isEmpty() or finer == FINER:
+                break
+            finer += 1
+            continue
+        finer = 0
+        moved = staged(cut.join(chosen, "root").select("node", "shard", "target"), "gathered")
+        whole.append(moved.select("node", "target"))
+        for r in moved.where("shard <> target").groupBy("shard", "target").count().collect():  # a row per pair of shards
+            free[r["shard"]] += r["count"]
+            free[r["target"]] -= r["count"]
+        cut = staged(cut.join(chosen, "root", "left_anti"), "cut")
+    if not whole:
+        return None
+    return labels.join(reduce(DataFrame.union, whole), "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
+
+
 def _evened(placed: DataFrame, shards: int, total: int, seed: int) -> DataFrame:
     """Move as few rows as possible from shards that are too large to those too small."""
     placed = staged(placed, "placed")
