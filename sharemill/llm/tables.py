@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from sharemill.llm.words import utf8
+from sharemill.llm.words import binary, utf8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,21 +69,31 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+#: Bytes of text that are chosen from at once.
+CHOSEN = 1 << 20
+
+
 def chosen_by_text(docs: DataFrame, text: str, chooser: Callable[[], Callable[[list[bytes | None]], list[bool]]]) -> DataFrame:
     """The rows of ``docs``, all columns, whose texts are chosen by a function that ``chooser`` makes once a task.
 
-    Columns go through Arrow under plain names, because there Spark takes none with dots or backticks.
+    Columns go through Arrow under plain names, because there Spark takes none with dots or backticks. Each goes once, and
+    of a batch only the texts of about ``CHOSEN`` bytes are held besides.
     """
     fields = [StructField(f"c{at}", f.dataType, f.nullable, f.metadata) for at, f in enumerate(docs.schema)]
+    docs.select(quoted(text))  # fails here if there is no such column, or several
+    place = docs.columns.index(text) if text in docs.columns else [c.lower() for c in docs.columns].index(text.lower())
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen = chooser()
         for batch in batches:
-            keep = pa.array(chosen(utf8(batch.column(batch.num_columns - 1))), pa.bool_())
-            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(keep)
-
-    plain = docs.select("*", quoted(text)).toDF(*[f.name for f in fields], "text")
-    return plain.mapInArrow(choose, StructType(fields)).toDF(*docs.columns)
+            lengths = pc.fill_null(pc.binary_length(binary(batch.column(place))), 0)
+            ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(ends // CHOSEN)) + 1).tolist(), batch.num_rows]
+            for start, end in pairwise(cuts):
+                part = batch.slice(start, end - start)
+                yield part.filter(pa.array(chosen(utf8(part.column(place))), pa.bool_()))
+
+    return docs.toDF(*[f.name for f in fields]).mapInArrow(choose, StructType(fields)).toDF(*docs.columns)
 
 
 def numbered(df: DataFrame, keys: list[Column], label: str, position: str = "position") -> DataFrame:

@@ -11,10 +11,14 @@ PIECE = 1 << 20
 _SPACE = (32, 9, 10, 11, 12, 13)
 
 
+def binary(column: pa.Array) -> pa.Array:
+    """The texts of an Arrow column as UTF-8, without decoding or copying them."""
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """The texts of an Arrow column as UTF-8, without decoding them."""
-    kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
-    return column.cast(kind).to_pylist()
+    return binary(column).to_pylist()
 
 
 def pieces(text: bytes, size: int = PIECE) -> Iterator[bytes]:

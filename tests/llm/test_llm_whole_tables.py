@@ -8,6 +8,7 @@ import pytest
 
 import corpus_pipeline
 from sharemill.llm.queries import QUERIES
+from sharemill.llm.tables import chosen_by_text
 
 DIR = "/root/testdata/sf0.001"
 
@@ -88,3 +89,20 @@ def test_stages_on_odd_rows(spark, name, stage):
             assert texts.count("one two three four five six") == 1 and len(found) == len(texts) + 1 and {1, 2, 3, 8, 9, 10} <= set(ids)
         elif name == "decontamination":  # no item of the benchmark is here
             assert sorted(map(str, ids)) == sorted(str(r[0]) for r in ROWS)
+
+
+def test_rows_are_chosen_a_few_texts_at_a_time_and_sent_once(spark, monkeypatch):
+    rows = [(k, None if k % 40 == 7 else f"{k}" if k % 9 == 0 else "x" * (100_000 + 997 * k)) for k in range(120)] + [(120, "y" * 3_000_000)]
+    docs = spark.createDataFrame(rows, "`a.id` int, `Te``xt` string").coalesce(1)
+    mapped, sent = type(docs).mapInArrow, []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a: [sent.append(self.columns), mapped(self, *a)][1])
+
+    def chooser():
+        # a call's texts but its largest one are bounded, however many rows a batch has
+        return lambda texts: [sum(sizes := [len(t or b"") for t in texts]) - max(sizes) <= 1 << 20 and len(t or b"") % 2 == 0 for t in texts]
+
+    found = chosen_by_text(docs, "te`xt", chooser)
+    assert found.schema == docs.schema and [tuple(r) for r in found.collect()] == [r for r in rows if len(r[1] or "") % 2 == 0]
+    assert [len(names) for names in sent] == [2]
+    none = spark.createDataFrame([(1, None)], "doc_id int, text string").selectExpr("doc_id", "null as text")
+    assert chosen_by_text(none, "text", lambda: lambda texts: [t is None for t in texts]).count() == 1
