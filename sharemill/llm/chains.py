@@ -73,6 +73,10 @@ class Chains:
         first[self.order] = local[:chains] * back / scale[:chains][:, None]
         return alpha, counts * step, float(np.log(scale, dtype=np.float64).sum()), first
 
+    def _leaving(self, t: int) -> slice:
+        """The chains of step ``t`` that end there."""
+        return slice(self.active[t + 1] if t + 1 < len(self.active) else 0, self.active[t])
+
     def transfer(self, local: np.ndarray, step: np.ndarray) -> np.ndarray:
         """For each chain, in the order given: from each state before it (row) the likelihood of the chain and each
         state at its end, all of a chain's numbers over one factor that makes their sum one."""
@@ -86,7 +90,7 @@ class Chains:
             now *= local[self.base[t] : self.base[t + 1], None, :]
             if t % 8 == 7:
                 now /= now.sum(axis=(1, 2), keepdims=True)
-            last[:n] = now
+            last[self._leaving(t)] = now[self._leaving(t)]
         last /= last.sum(axis=(1, 2), keepdims=True)
         out = np.empty_like(last)
         out[self.order] = last
@@ -104,7 +108,7 @@ class Chains:
             total = now.sum(axis=1)
             now /= total[:, None]
             logs[:n] += np.log(total)
-            last[:n] = now
+            last[self._leaving(t)] = now[self._leaving(t)]
         out, ends = np.empty(chains), np.empty_like(last)
         out[self.order], ends[self.order] = logs, last
         return out, ends
@@ -148,7 +152,9 @@ class Pieces:
         if not len(long):
             return entered, before, after
         matrices = np.empty((self.total, states, states), step.dtype)
-        for block, found, layout in self.blocks(np.flatnonzero(self.number > 0)):
+        # what a last piece does only matters to those before it
+        ending = self.number == self.counts[self.owner] - 1
+        for block, found, layout in self.blocks(np.flatnonzero((self.number > 0) & (both | ~ending))):
             matrices[block] = layout.transfer(self.local(layout.by_time(found)), step)
         for block, found, layout in self.blocks(self.firsts[long]):
             entered[block + 1] = layout.likelihood(self.local(layout.by_time(found)), step, self.start)[1]
@@ -165,16 +171,20 @@ class Pieces:
             after[own - 1] = then / then.sum(axis=1, keepdims=True)
         return entered, before, after
 
-    def smooth(self, moves: np.ndarray, starts: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def smooth(self, moves: np.ndarray, starts: np.ndarray, ordered: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """The elements of all chains in order, and their states' probabilities given their whole chain, block by block.
-        Expected transitions and first states are added to ``moves`` and ``starts``."""
+        Expected transitions and first states are added to ``moves`` and ``starts``. If not ``ordered``, the elements of a
+        block come by time, which takes fewer steps."""
         entered, before, after = self.borders(both=True)
         for block, found, layout in self.blocks(np.arange(self.total)):
-            likely, inside, _, first = layout.smooth(self.local(layout.by_time(found)), self.step, before[block], after[block])
-            likely, inner = likely[layout.place], self.number[block] > 0
+            timed = layout.by_time(found)
+            likely, inside, _, first = layout.smooth(self.local(timed), self.step, before[block], after[block])
+            inner = self.number[block] > 0
             moves += inside + (entered[block][inner].T @ first[inner]) * self.step
-            starts += likely[(np.cumsum(self.size[block]) - self.size[block])[~inner]].sum(axis=0)
-            yield found, likely
+            firsts = np.empty_like(first)
+            firsts[layout.order] = likely[: len(block)]
+            starts += firsts[~inner].sum(axis=0)
+            yield (found, likely[layout.place]) if ordered else (timed, likely)
 
     def log_likelihoods(self) -> np.ndarray:
         """The natural logarithm of each chain's likelihood."""

@@ -11,12 +11,12 @@ scored exactly by the scaled forward recursion.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -24,9 +24,11 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from sharemill.llm.chains import Pieces
 from sharemill.llm.splits import held_out
 from sharemill.llm.tables import quoted, shared_path, staged
-from sharemill.llm.words import utf8, words
+from sharemill.llm.words import portions, split_words
 
 LOG10 = float(np.log(10.0))
+#: Bytes of text whose words a task holds at once.
+TEXT = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -34,8 +36,7 @@ class Settings:
     """States; words that are symbols; classes of other words; words whose count goes to every task (the other counts
     are joined), which with the next bound of bytes bounds the broadcast; longest such word; for each pass over all
     training text the number of parts (each a divisor of the first) after each of which the model is made anew; weight of
-    the symbols' overall shares in a state's; elements of a piece of a text, and of all that a task works on at a time; texts
-    that a task takes out of a batch at a time."""
+    the symbols' overall shares in a state's; elements of a piece of a text, and of all that a task works on at a time."""
 
     states: int = 8
     symbols: int = 16_384
@@ -46,7 +47,6 @@ class Settings:
     weight: float = 500.0
     piece: int = 512
     room: int = 300_000
-    texts: int = 512
 
     @property
     def end(self) -> int:
@@ -75,28 +75,37 @@ def word_class(word: bytes, classes: int) -> int:
     return zlib.crc32(word[-3:]) % classes
 
 
+def word_classes(words: pa.Array, classes: int) -> np.ndarray:
+    """The class of each word, found once for each ending."""
+    endings = pc.binary_slice(words, -3).dictionary_encode()
+    own = np.fromiter((word_class(w, classes) for w in endings.dictionary.to_pylist()), np.int64, len(endings.dictionary))
+    return own[endings.indices.to_numpy()]
+
+
 def word_counts(texts: DataFrame, room: int = 300_000, size: int = 1 << 26) -> DataFrame:
     """word, n over all rows of one text column; every task adds up its words before they are shuffled, until they are
     more than ``room`` or come from more than ``size`` bytes of text, however long they are."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        read = 0
+        held, read = [], 0
         for batch in batches:
-            for text in (t for part in slices(batch, 512) for t in utf8(part.column(0))):
-                read += len(text or b"")
-                for piece in words(text):
-                    counts.update(piece)
-                    if len(counts) > room or read > size:
-                        yield from out(counts)
-                        counts, read = Counter(), 0
-        yield from out(counts)
-
-    def out(counts: Counter) -> Iterator[pa.RecordBatch]:
-        found = list(counts.items())
-        for at in range(0, len(found), 50_000):
-            part = found[at : at + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in part], pa.binary()), pa.array([n for _, n in part], pa.int64())], ["word", "n"])
+            for part in portions(batch, 0, min(size, TEXT)):
+                for _, found in split_words(part.column(0), min(size, TEXT)):
+                    counts = found.value_counts()
+                    held.append(pa.table({"word": counts.field("values"), "n": counts.field("counts")}))
+                    read += pc.sum(pc.binary_length(found)).as_py() or 0
+                    if read > size or sum(map(len, held)) > 3 * room // 2:
+                        held = [added(held)]
+                        if read > size or len(held[0]) > room:
+                            yield from held[0].to_batches(50_000)
+                            held, read = [], 0
+        if held:
+            yield from added(held).to_batches(50_000)
+        held.clear()
+        pa.default_memory_pool().release_unused()  # the worker goes on with other tasks
+
+    def added(held: list[pa.Table]) -> pa.Table:
+        return pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"]).rename_columns(["word", "n"])
 
     return texts.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -114,17 +123,17 @@ def lexicon(counts: DataFrame, n_texts: int, settings: Settings) -> Lexicon:
     common = short.where(F.col("bin") >= least).select("word", "n").toArrow()
     ranked = sorted(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
     top = dict(ranked)
-    symbols, classes = frozenset(list(top)[: settings.symbols]), settings.classes
+    symbols, classes = list(top)[: settings.symbols], settings.classes
     sent = counts.sparkSession.sparkContext.broadcast(symbols)
 
     def classify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, distinct = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
+        tokens, distinct, known = np.zeros(classes, np.int64), np.zeros(classes, np.int64), pa.array(sent.value, pa.binary())
         for batch in batches:
-            for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if word not in sent.value:
-                    at = word_class(word, classes)
-                    tokens[at] += n
-                    distinct[at] += 1
+            word = batch.column(0).cast(pa.binary())
+            other = pc.invert(pc.is_in(word, value_set=known))
+            own = word_classes(word.filter(other), classes)
+            np.add.at(tokens, own, batch.column(1).filter(other).to_numpy())
+            distinct += np.bincount(own, minlength=classes)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(classes)), pa.array(tokens), pa.array(distinct)], ["class", "tokens", "words"])
 
     class_tokens, class_words = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
@@ -146,58 +155,64 @@ def encoded(texts: DataFrame, lex: Lexicon, n_texts: int, settings: Settings) ->
     )
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = sent.value
-        place = {w: at for at, w in enumerate(held.counts)}
+        held, top = sent.value, settings.symbols
+        place, counts = {w: at for at, w in enumerate(held.counts)}, np.fromiter(held.counts.values(), float, len(held.counts))
         total = np.log10(held.class_tokens + held.class_words + 1.0)
-        sizes = np.log10(np.fromiter(held.counts.values(), float, len(held.counts)) + 1)
-        # of every word with a broadcast count: its symbol, and its share in its class
-        symbol, inner = np.arange(len(place)), np.zeros(len(place))
-        for w, at in place.items():
-            if at >= settings.symbols:
-                symbol[at] = settings.symbols + word_class(w, settings.classes)
-                inner[at] = sizes[at] - total[symbol[at] - settings.symbols]
+        # of every word with a broadcast count: log10 of count + 1, its symbol, and its share in its class; the last row is for others
+        sizes, symbol, inner = np.append(np.log10(counts + 1), 0.0), np.arange(len(counts) + 1), np.zeros(len(counts) + 1)
+        own = word_classes(pa.array(list(place)[top:], pa.binary()), settings.classes)
+        symbol[top:-1] = top + own
+        inner[top:-1] = sizes[top:-1] - total[own]
         ends = np.log10(n_texts + 1.0)
-        for batch in (part for whole in batches for part in slices(whole, settings.texts)):
-            rows = [encode_one(t, place, symbol, inner, sizes, total) for t in utf8(batch.column(2))]
+        for batch in (part for whole in batches for part in portions(whole, 2, TEXT)):
+            n, known, base, within = (np.zeros(batch.num_rows, kind) for kind in (np.int64, np.int64, float, float))
+            parts, rare = [], []
+            for rows, words in split_words(batch.column(2), TEXT):
+                # every different word is looked up once
+                words = words.dictionary_encode()
+                different, code = words.dictionary, words.indices.to_numpy()
+                at = np.fromiter((place.get(w, -1) for w in different.to_pylist()), np.int64, len(different))
+                missing, own_symbol, own_inner = at < 0, symbol[at], inner[at]
+                own = word_classes(different.filter(pa.array(missing)), settings.classes)
+                own_symbol[missing], own_inner[missing] = top + own, -total[own]
+                parts.append(own_symbol.astype(np.uint16)[code])
+                n += np.bincount(rows, minlength=len(n))
+                known += np.bincount(rows[~missing[code]], minlength=len(n))
+                base += np.bincount(rows, sizes[at][code], len(n))
+                within += np.bincount(rows, own_inner[code], len(n))
+                # each row's words without a count, with their numbers
+                rest, some = missing[code], max(1, len(different))
+                pairs, times = np.unique(rows[rest] * some + code[rest], return_counts=True)
+                row, word = np.divmod(pairs, some)
+                rare.append(pa.table({"row": row, "word": different.take(pa.array(word)), "n": times.astype(np.int64)}))
             columns = [
-                batch.column(0), batch.column(1), pa.array([r[0] + 1 for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()),
-                pa.array([r[2] + (n_texts > 0) for r in rows], pa.int64()), pa.array([r[3] + ends for r in rows], pa.float64()),
-                pa.array([r[4] for r in rows], pa.float64()), counters([r[5] for r in rows]),
+                batch.column(0), batch.column(1), pa.array(n + 1), ended(n, parts, settings.end), pa.array(known + (n_texts > 0)),
+                pa.array(base + ends), pa.array(within), lists(rare, batch.num_rows),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "symbols", "n_known", "base", "inner", "rare"])
-
-    def encode_one(text, place, symbol, inner, sizes, total):
-        get, n, known, base, within = place.get, 0, 0, 0.0, 0.0
-        parts, rare = [], Counter()
-        for piece in words(text):
-            at = np.fromiter((get(w, -1) for w in piece), np.int64, len(piece))
-            missing = np.flatnonzero(at < 0)
-            part = symbol[at] if len(symbol) else np.zeros(len(at), np.int64)
-            if len(missing):
-                own = np.fromiter((word_class(piece[k], settings.classes) for k in missing), np.int64, len(missing))
-                part[missing] = settings.symbols + own
-                within -= float(total[own].sum())
-                rare.update(piece[k] for k in missing)
-            some = at[at >= 0]
-            n, known = n + len(at), known + len(some)
-            base, within = base + float(sizes[some].sum()), within + float(inner[some].sum())
-            parts.append(part.astype(np.uint16))
-        parts.append(np.array([settings.end], np.uint16))
-        return n, np.concatenate(parts).tobytes(), known, base, within, rare
+        pa.default_memory_pool().release_unused()
 
     return texts.mapInArrow(encode, schema)
 
 
-def slices(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
-    """A batch a few rows at a time, so that only these are held as Python objects."""
-    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
+def ended(n: np.ndarray, parts: list[np.ndarray], end: int) -> pa.Array:
+    """The symbols of texts of ``n`` words each, and an end after each text, two bytes a symbol."""
+    stops = np.cumsum(n + 1)
+    joined = np.full(int(n.sum()) + len(n), end, np.uint16)
+    inside = np.ones(len(joined), bool)
+    inside[stops - 1] = False
+    joined[inside] = np.concatenate([np.zeros(0, np.uint16), *parts])
+    return pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.append(0, 2 * stops).astype(np.int32)), pa.py_buffer(joined)])
 
 
-def counters(found: list[Counter]) -> pa.ListArray:
-    """Each counter as a list of (word, n)."""
-    parts = [pa.array([w for one in found for w in one], pa.binary()), pa.array([n for one in found for n in one.values()], pa.int64())]
-    offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(parts, ["word", "n"]))
+def lists(found: list[pa.Table], rows: int) -> pa.ListArray:
+    """For each row its words with their numbers, from tables in the order of rows; long texts come in several."""
+    if len(found) > 1:
+        whole = pa.concat_tables(found).group_by(["row", "word"], use_threads=False).aggregate([("n", "sum")])
+        found = [whole.rename_columns({"n_sum": "n"}).sort_by("row")]
+    words, n, row = (found[0][c].combine_chunks() if found else pa.array([], kind) for c, kind in (("word", pa.binary()), ("n", pa.int64()), ("row", pa.int64())))
+    offsets = np.append(0, np.cumsum(np.bincount(row.to_numpy(), minlength=rows))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([words, n], ["word", "n"]))
 
 
 # -- Baum-Welch -------------------------------------------------------------------------------------------------
@@ -213,16 +228,17 @@ def first_model(settings: Settings, shares: np.ndarray) -> Model:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], column: int, room: int) -> Iterator[list[np.ndarray]]:
-    """The texts of a column of symbols, in lists of about ``room`` symbols."""
+    """The texts of a column of symbols, in lists of less than ``room`` symbols or of one text."""
     waiting: list[np.ndarray] = []
     held = 0
     for batch in batches:
         for raw in batch.column(column):
-            waiting.append(np.frombuffer(raw.as_buffer(), np.uint16))
-            held += len(waiting[-1])
-            if held > room:
+            text = np.frombuffer(raw.as_buffer(), np.uint16)
+            if waiting and held + len(text) >= room:
                 yield waiting
                 waiting, held = [], 0
+            waiting.append(text)
+            held += len(text)
     if waiting:
         yield waiting
 
@@ -238,7 +254,8 @@ def expected_counts(rows: DataFrame, model: Model, settings: Settings) -> np.nda
         emission, step, start = (np.maximum(x, 1e-30).astype(np.float32) for x in (m.emission, m.step, m.start))
         for texts in _blocks(batches, 0, settings.room):
             chains = Pieces(texts, emission.__getitem__, step, start, settings.piece, settings.room)
-            for elements, likely in chains.smooth(sums[symbols : symbols + s], sums[-1]):
+            for elements, likely in chains.smooth(sums[symbols : symbols + s], sums[-1], ordered=False):
+                elements = elements.astype(np.intp)
                 for k in range(s):
                     sums[:symbols, k] += np.bincount(elements, likely[:, k], symbols)
         at = np.flatnonzero(sums.any(axis=1))

@@ -9,10 +9,12 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sharemill.llm import bm25_decontamination as bm25
 from sharemill.llm import hidden_markov as hmm
+from sharemill.llm import words as column_words
 from sharemill.llm.chains import Chains, Pieces
 from sharemill.llm.components import components
 from sharemill.llm.compression_toxicity import toxicity
@@ -479,3 +481,74 @@ def test_items_of_all_lengths_take_one_pass(spark):
     small = bm25.contaminated(docs, benchmark, bm25.Settings(words=300))
     assert sorted(map(str, small.collect())) == sorted(map(str, found.collect()))
     assert [x["doc_id"] for x in bm25.keep_clean(docs, benchmark).collect()] == [len(items)]
+
+
+# -- words by column --------------------------------------------------------------------------------------------
+
+ODD = ["".join(random.Random(n).choices(" \t\n\x0b\x0c\r\x1c\x1f\x85\xa0abAZÄé日\U0001f600", k=n % 60)) for n in range(200)] + [None, "", " ", "x" * 3000, "A b " * 2000]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string(), pa.binary()])
+def test_words_of_a_column_equal_words_of_its_texts(kind):
+    column = pa.array([t.encode() if t is not None and kind == pa.binary() else t for t in ODD], kind)
+    for part in (column, column.slice(7, 150), column.slice(3, 0)):
+        for size in (50, 1000, 1 << 20):
+            found = [[] for _ in part]
+            for rows, words in column_words.split_words(part, size):
+                assert (np.diff(rows) >= 0).all() and words.nbytes < 20 * max(size, 3000)
+                for at, word in zip(rows.tolist(), words.to_pylist(), strict=True):
+                    found[at].append(word)
+            assert found == [[w for piece in column_words.words(t) for w in piece] for t in column_words.utf8(part)]
+            batch = pa.RecordBatch.from_arrays([part], ["text"])
+            cut = list(column_words.portions(batch, 0, size))
+            assert pa.Table.from_batches(cut, batch.schema).column(0).to_pylist() == part.to_pylist()
+
+
+def test_encoded_texts_equal_plain_lookups(spark):
+    """Of each text, also of one that comes in pieces: symbols, sums over its words, and the words without a count."""
+    settings = hmm.Settings(symbols=2, classes=3)
+    lex = hmm.Lexicon({b"a": 90, b"b": 40, b"z": 7, "é".encode(): 3}, 200, 30, np.array([20, 5, 9]), np.array([4, 2, 1]))
+    texts = [*ODD, "a b new " + "a b é rare Rare\n" * 400_000 + " new"]
+    docs = spark.createDataFrame([(k, k % 3 == 0, t) for k, t in enumerate(texts)], "doc_id bigint, held_out boolean, text string").repartition(3)
+    found = hmm.encoded(docs, lex, 11, settings).collect()
+    assert sorted(r["doc_id"] for r in found) == list(range(len(texts)))
+    total = [math.log10(t + w + 1) for t, w in zip([20, 5, 9], [4, 2, 1], strict=True)]
+    for r in found:
+        words = [w for piece in column_words.words((texts[r["doc_id"]] or "").encode()) for w in piece]
+        places = [list(lex.counts).index(w) if w in lex.counts else 9 for w in words]
+        symbols = [p if p < 2 else 2 + hmm.word_class(w, 3) for p, w in zip(places, words, strict=True)]
+        assert np.frombuffer(r["symbols"], np.uint16).tolist() == [*symbols, 5] and r["n_tokens"] == len(words) + 1
+        assert r["held_out"] == (r["doc_id"] % 3 == 0) and r["n_known"] == sum(p < 9 for p in places) + 1
+        logs = [math.log10(lex.counts.get(w, 0) + 1) for w in words]
+        assert r["base"] == pytest.approx(sum(logs) + math.log10(12))
+        assert r["inner"] == pytest.approx(sum(n - total[s - 2] for n, s in zip(logs, symbols, strict=True) if s >= 2))
+        assert sorted((bytes(x["word"]), x["n"]) for x in r["rare"]) == sorted(Counter(w for w in words if w not in lex.counts).items())
+
+
+def test_words_find_their_classes_once_for_each_ending(monkeypatch):
+    seen, word_class = [], hmm.word_class
+    monkeypatch.setattr(hmm, "word_class", lambda w, n: seen.append(w) or word_class(w, n))
+    words = [b"", b"a", b"ab", "é".encode(), *(b"%d-%d00" % (n, n % 7) for n in range(5000))]
+    assert hmm.word_classes(pa.array(words, pa.binary()), 512).tolist() == [word_class(w, 512) for w in words]
+    assert len(seen) == 11
+
+
+def test_a_list_of_texts_is_one_block():
+    """Lists a little over the room came in two blocks, each with all of a piece's steps."""
+    sizes = [100] * 45 + [5000, 100, 900, 99, 1]
+    batch = pa.RecordBatch.from_arrays([pa.array([np.full(n, n % 7, np.uint16).tobytes() for n in sizes], pa.binary())], ["symbols"])
+    lists = list(hmm._blocks(iter([batch.slice(0, 20), batch.slice(20)]), 0, 1000))
+    assert [len(x) for texts in lists for x in texts] == sizes and len(lists) == 9
+    for texts in lists:
+        pieces = Pieces(texts, None, np.eye(2), np.ones(2), 64, 1000)
+        assert len(list(pieces.blocks(np.arange(pieces.total)))) == 1 or len(texts) == 1
+
+
+def test_scores_take_matrices_of_inner_pieces_alone(monkeypatch):
+    made, transfer = [], Chains.transfer
+    monkeypatch.setattr(Chains, "transfer", lambda self, *a: made.append(len(self.order)) or transfer(self, *a))
+    r = np.random.default_rng(4)
+    model = hmm.Model(np.array([0.2, 0.8]), np.array([[0.9, 0.1], [0.3, 0.7]]), r.random((5, 2)))
+    texts = [r.integers(0, 5, n).astype(np.uint16) for n in (3, 10, 15, 20, 44)]
+    found = hmm.log_likelihoods(texts, model, hmm.Settings(piece=10, room=1000))
+    assert made == [3] and found == pytest.approx(hmm.log_likelihoods(texts, model, hmm.Settings(piece=100)))
