@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sharemill.llm.tables import remove, write_staged
+from sharemill.llm.tables import merged, remove, write_staged
 
 
 def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -56,9 +56,9 @@ def _followed(parents: DataFrame) -> DataFrame:
     while True:
         now = spark.read.schema(schema).parquet(path)
         on = now.toDF("root", "next")
-        if now.join(on, "root", "left_semi").isEmpty():
+        if merged(now, on, "root", "left_semi").isEmpty():
             return now
-        jumped = now.join(on, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+        jumped = merged(now, on, "root", "left").select("node", F.coalesce("next", "root").alias("root"))
         new = write_staged(jumped, "parents")
         remove(spark, path)
         path = new
@@ -67,11 +67,11 @@ def _followed(parents: DataFrame) -> DataFrame:
 def _moved(links: DataFrame, roots: DataFrame) -> DataFrame:
     """Links (a, b) between the roots of their nodes."""
     one, other = roots.toDF("a", "root_a"), roots.toDF("b", "root_b")
-    joined = links.join(one, "a", "left").join(other, "b", "left")
+    joined = merged(merged(links, one, "a", "left"), other, "b", "left")
     return joined.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
 
 
 def _composed(labels: DataFrame, roots: DataFrame) -> DataFrame:
     """Labels whose roots have got roots themselves; these were no nodes of the labels."""
-    joined = labels.join(roots.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
+    joined = merged(labels, roots.toDF("root", "next"), "root", "left").select("node", F.coalesce("next", "root").alias("root"))
     return joined.unionByName(roots)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sharemill.llm.components import components
-from sharemill.llm.tables import numbered, quoted, remove, staged, write_staged
+from sharemill.llm.tables import merged, numbered, quoted, remove, staged, write_staged
 
 #: Steps in which a shard's quota is handed out; how often they are made sixteen times finer when nobody gets in.
 STEPS, FINER = 256, 4
@@ -39,7 +39,7 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
     both = links.where("a <> b").select("a", "b")
     both = staged(both.union(both.select(F.col("b"), F.col("a"))).distinct().toDF("node", "near"), "edges")
     # only linked rows take part in the rounds
-    linked = start.join(both.select("node").distinct(), "node", "left_semi")
+    linked = merged(start, both.select("node").distinct(), "node", "left_semi")
     path, schema = write_staged(linked, "labels"), linked.schema
     finer, roots = 0, None
     for turn in range(rounds) if rounds is not None else count():
@@ -57,7 +57,7 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
             finer += 1
         else:
             finer = 0
-            moved = labels.join(moves, "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
+            moved = merged(labels, moves, "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
             new = write_staged(moved, "labels")
             remove(spark, path)
             path = new
@@ -72,17 +72,15 @@ def shards_by_links(nodes: DataFrame, links: DataFrame, shards: int = 8, rounds:
             remove(spark, path)
             path = new
     labels = spark.read.schema(schema).parquet(path)
-    inside = _neighbours(labels, both).join(labels, ["node", "shard"]).select("node", "links")
-    placed = (
-        start.withColumnRenamed("shard", "first").join(labels, "node", "left").join(inside, "node", "left")
-        .select("node", F.coalesce("shard", "first").alias("shard"), F.coalesce("links", F.lit(0)).alias("links"))
-    )
+    inside = merged(_neighbours(labels, both), labels, ["node", "shard"]).select("node", "links")
+    placed = merged(merged(start.withColumnRenamed("shard", "first"), labels, "node", "left"), inside, "node", "left")
+    placed = placed.select("node", F.coalesce("shard", "first").alias("shard"), F.coalesce("links", F.lit(0)).alias("links"))
     return _evened(placed, shards, total, seed)
 
 
 def _neighbours(labels: DataFrame, both: DataFrame) -> DataFrame:
     """(node, shard, links): how many neighbours of a node are in a shard."""
-    near = both.join(labels.withColumnRenamed("node", "near"), "near")
+    near = merged(both, labels.withColumnRenamed("node", "near"), "near")
     return near.groupBy("node", "shard").agg(F.count(F.lit(1)).alias("links"))
 
 
@@ -92,7 +90,7 @@ def _wishes(labels: DataFrame, both: DataFrame) -> DataFrame:
     # the home shard's number of neighbours comes along with the best
     home = F.max(F.when(F.col("shard") == F.col("home"), F.col("links")))
     best = F.max(F.struct("links", (-F.col("shard")).alias("least")))
-    found = counts.join(labels.withColumnRenamed("shard", "home"), "node").groupBy("node", "home").agg(best.alias("best"), F.coalesce(home, F.lit(0)).alias("links"))
+    found = merged(counts, labels.withColumnRenamed("shard", "home"), "node").groupBy("node", "home").agg(best.alias("best"), F.coalesce(home, F.lit(0)).alias("links"))
     return found.where(F.col("best.links") > F.col("links")).select("node", (-F.col("best.least")).cast("int").alias("target"))
 
 
@@ -100,14 +98,14 @@ def _apart(wishes: DataFrame, both: DataFrame, turn: int, seed: int) -> DataFram
     """Those wishes whose row comes before all wishing neighbours in the round's order, so that no two of them are linked."""
     ranked = wishes.select("node", F.struct(F.xxhash64("node", F.lit(f"order{seed}:{turn}")).alias("hash"), "node").alias("order"))
     near = ranked.toDF("near", "other")
-    later = both.join(ranked, "node").join(near, "near").where("order > other").select("node").distinct()
-    return wishes.join(later, "node", "left_anti")
+    later = merged(merged(both, ranked, "node"), near, "near").where("order > other").select("node").distinct()
+    return merged(wishes, later, "node", "left_anti")
 
 
 def _admitted(labels: DataFrame, wishes: DataFrame, room: int, steps: int, turn: int, seed: int) -> DataFrame:
     """The wishes that fit: as many steps of a shard's queue as leave its linked rows within ``room``."""
     queue = wishes.withColumn("step", F.pmod(F.xxhash64("node", F.lit(f"queue{seed}:{turn}")), F.lit(steps)))
-    taken = labels.join(queue, "node", "left_anti").groupBy("shard").agg(F.count(F.lit(1)).alias("stay"))
+    taken = merged(labels, queue, "node", "left_anti").groupBy("shard").agg(F.count(F.lit(1)).alias("stay"))
     # a row per shard and step
     sizes = queue.groupBy("target", "step").agg(F.count(F.lit(1)).alias("n"))
     upto = Window.partitionBy("target").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
@@ -115,15 +113,15 @@ def _admitted(labels: DataFrame, wishes: DataFrame, room: int, steps: int, turn:
         sizes.withColumn("upto", F.sum("n").over(upto)).join(taken.withColumnRenamed("shard", "target"), "target", "left")
         .where(F.col("upto") + F.coalesce("stay", F.lit(0)) <= room)
     )
-    return queue.join(fits.select("target", "step"), ["target", "step"]).select("node", "target")
+    return merged(queue, fits.select("target", "step"), ["target", "step"]).select("node", "target")
 
 
 def _gathered(labels: DataFrame, roots: DataFrame, room: int, shards: int, seed: int) -> DataFrame | None:
     """Labels in which groups that fit a shard, but are cut, are whole in one that has room for the rest of them; None if
     there is no such group. ``roots`` has the smallest node of each other node's group."""
-    grouped = labels.join(roots, "node", "left").select("node", "shard", F.coalesce("root", "node").alias("root"))
+    grouped = merged(labels, roots, "node", "left").select("node", "shard", F.coalesce("root", "node").alias("root"))
     sizes = grouped.groupBy("root", "shard").agg(F.count(F.lit(1)).alias("n")).groupBy("root").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("parts"))
-    cut = staged(grouped.join(sizes.where((F.col("parts") > 1) & (F.col("size") <= room)).select("root", "size"), "root"), "cut")
+    cut = staged(merged(grouped, sizes.where((F.col("parts") > 1) & (F.col("size") <= room)).select("root", "size"), "root"), "cut")
     free = {s: room for s in range(shards)} | {r["shard"]: room - r["count"] for r in labels.groupBy("shard").count().collect()}  # a row per shard
     whole, finer = [], 0
     for turn in count():
@@ -139,22 +137,22 @@ def _gathered(labels: DataFrame, roots: DataFrame, room: int, shards: int, seed:
         # a row per shard and step
         upto = Window.partitionBy("target").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
         fits = queue.groupBy("target", "free", "step").agg(F.sum("more").alias("more")).withColumn("upto", F.sum("more").over(upto)).where("upto <= free")
-        chosen = staged(queue.join(fits.select("target", "step"), ["target", "step"]).select("root", "target"), "chosen")
+        chosen = staged(merged(queue, fits.select("target", "step"), ["target", "step"]).select("root", "target"), "chosen")
         if chosen.isEmpty():
             if queue.isEmpty() or finer == FINER:
                 break
             finer += 1
             continue
         finer = 0
-        moved = staged(cut.join(chosen, "root").select("node", "shard", "target"), "gathered")
+        moved = staged(merged(cut, chosen, "root").select("node", "shard", "target"), "gathered")
         whole.append(moved.select("node", "target"))
         for r in moved.where("shard <> target").groupBy("shard", "target").count().collect():  # a row per pair of shards
             free[r["shard"]] += r["count"]
             free[r["target"]] -= r["count"]
-        cut = staged(cut.join(chosen, "root", "left_anti"), "cut")
+        cut = staged(merged(cut, chosen, "root", "left_anti"), "cut")
     if not whole:
         return None
-    return labels.join(reduce(DataFrame.union, whole), "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
+    return merged(labels, reduce(DataFrame.union, whole), "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
 
 
 def _evened(placed: DataFrame, shards: int, total: int, seed: int) -> DataFrame:
@@ -186,7 +184,7 @@ def _evened(placed: DataFrame, shards: int, total: int, seed: int) -> DataFrame:
     for end, s in reversed(bounds):
         target = F.when(F.col("going") < end, F.lit(s)).otherwise(target)
     moved = queue.withColumn("going", going).where("going is not null").select("node", target.alias("target"))
-    return placed.join(moved, "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
+    return merged(placed, moved, "node", "left").select("node", F.coalesce("target", "shard").alias("shard"))
 
 
 def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None, seed: int = 0, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -204,9 +202,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None,
     )
     rows = staged(slim.withColumn("node", F.monotonically_increasing_id()), "rows")
     centres = rows.where("digest is not null").groupBy("digest").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    links = rows.select("node", "digest").join(centres.select("digest", "centre"), "digest").where("node <> centre")
+    links = merged(rows.select("node", "digest"), centres.select("digest", "centre"), "digest").where("node <> centre")
     placed = shards_by_links(rows.select("node"), links.select(F.col("centre").alias("a"), F.col("node").alias("b")), shards, rounds, seed)
-    sharded = rows.drop("digest").join(placed, "node")
+    sharded = merged(rows.drop("digest"), placed, "node")
     ordered = numbered(sharded, [F.col("shard"), F.col("doc_id").asc_nulls_first(), F.col("node")], "slots", "place")
     # a row per shard
     sizes = {r["shard"]: r["count"] for r in placed.groupBy("shard").count().collect()}

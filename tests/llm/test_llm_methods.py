@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import re
 import time
 from collections import Counter
 
@@ -13,14 +14,16 @@ import pyarrow as pa
 import pytest
 
 from sharemill.llm import bm25_decontamination as bm25
+from sharemill.llm import components as linked
 from sharemill.llm import hidden_markov as hmm
+from sharemill.llm import label_sharding, tables
 from sharemill.llm import words as column_words
 from sharemill.llm.chains import Chains, Pieces
 from sharemill.llm.components import components
 from sharemill.llm.compression_toxicity import toxicity
 from sharemill.llm.crf_language import Model, Tagger, fitted, languages, probabilities, word_languages
 from sharemill.llm.histogram_topk import top_k
-from sharemill.llm.label_sharding import shards_by_links
+from sharemill.llm.label_sharding import shard_documents, shards_by_links
 from sharemill.llm.minmax_dedup import Settings, near_duplicates
 from sharemill.llm.pii_surrogates import replace_entities, unit_surrogates
 from sharemill.llm.poisson_mix import poisson_mix
@@ -317,6 +320,27 @@ def test_propagation_keeps_groups_together(spark):
     assert not any(shard[a] != shard[b] for a, b in small)  # each of these groups fits a shard
 
 
+def test_sharding_sends_no_rows_to_the_driver(spark, monkeypatch):
+    """Hash tables for broadcasts are made on the driver: only of tables with a row per shard or partition."""
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    write = tables.write_staged
+    for module in (tables, label_sharding, linked):
+        monkeypatch.setattr(module, "write_staged", lambda df, label: write(planned(df), label))
+    docs = spark.range(60).selectExpr("id as doc_id", "concat('text ', id % 40) as text")
+    assert planned(shard_documents(docs, 3, rounds=1)).count() == 60
+    roots = components(spark.range(60).where("id % 4 > 0").selectExpr("id - id % 4 as a", "id as b"))
+    gathered = planned(label_sharding._gathered(spark.range(60).selectExpr("id as node", "cast(id % 3 as int) as shard"), roots, 30, 3, 0))
+    assert len({(r["node"] // 4, r["shard"]) for r in gathered.collect()}) == 15
+    keys = {re.sub(r"#\d+L?", "", key) for plan in plans for key in re.findall(r"Broadcast(?:Hash|NestedLoop)Join (?:\[(.*?)\])?", plan)}
+    assert keys <= {"target", "_part"}
+    assert all(any(f"SortMergeJoin [{key}#" in plan for plan in plans) for key in ("node", "near", "root", "digest"))
+
+
 def test_surrogates_by_format_and_coreference(spark):
     text = (
         "Mr John Smith met Mrs. Anna SMITH; Mr. Smith wrote to JOHN@X.COM, john@x.com, +1 (456) 555-2186, +1 456 555 2186, "
